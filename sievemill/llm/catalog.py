@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from sievemill.llm.mixing import op1_mixing
 from sievemill.llm.nearest import op3_nearest
+from sievemill.llm.ngram_join import op6_ngram_join
 from sievemill.llm.packing import op9_packing
 from sievemill.llm.quality import op7_quality
 from sievemill.llm.secrets import op8_secrets
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_nearest, op7_quality, op8_secrets, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_nearest, op6_ngram_join, op7_quality, op8_secrets, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}
