@@ -22,7 +22,7 @@ from sievemill.llm.common import cut
 
 CAPACITY = 2048
 END_ID = 1
-RANK_BUCKETS = 1024
+RANK_BUCKETS = 256
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SPECIAL = {"<|endoftext|>": 50256}
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
