@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sievemill.llm.language_model import op10_language_model
 from sievemill.llm.mixing import op1_mixing
 from sievemill.llm.nearest import op3_nearest
 from sievemill.llm.ngram_join import op6_ngram_join
@@ -11,5 +12,5 @@ from sievemill.llm.secrets import op8_secrets
 
 from sievemill.llm.substrings import op4_substrings
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_nearest, op4_substrings, op6_ngram_join, op7_quality, op8_secrets, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_nearest, op4_substrings, op6_ngram_join, op7_quality, op8_secrets, op9_packing, op10_language_model)}
 ORACLE_SQL: dict[str, str] = {}
