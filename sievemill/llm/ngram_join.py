@@ -27,6 +27,8 @@ from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, mix,
 
 #: Up to this many differences, a layout has three cells a partition and its subsets leave one out; beyond, one cell.
 ENUMERATED = 40
+#: Nodes of a signature, by rank, that are compared with all others in other components, round by round; the last round leaves none.
+ROUNDS = ((0, 1), (1, 8), (8, 1 << 40))
 FLUSH = 1 << 21
 U = np.uint64
 
@@ -85,6 +87,10 @@ class Similarity:
             out.append(signed[full] if (~full).any(axis=1).sum() <= spare else signed.ravel())
         return np.concatenate(out) if out else np.zeros(0, U)
 
+    def may_link(self, apart: int, a: int, b: int) -> bool:
+        """Whether sets of these sizes may differ in so many elements."""
+        return apart * (100 + self.percent) <= (a + b) * (100 - self.percent)
+
     def links(self, shared: int, a: int, b: int) -> bool:
         return 100 * shared >= self.percent * (a + b - shared)
 
@@ -125,16 +131,52 @@ def node_of(s: np.ndarray) -> int:
     return int(mix(mixed[:1] + mixed[1:] * U(3)).view(np.int64)[0])
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs that repeat with each signature they share, a spanning forest of those that share most."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    code, count = np.unique(at[: len(a)] * len(nodes) + at[len(a) :], return_counts=True)
+    code = code[np.argsort(-count, kind="stable")]
+    root, kept = list(range(len(nodes))), []
+    for k, (i, j) in enumerate(zip((code // max(1, len(nodes))).tolist(), (code % max(1, len(nodes))).tolist())):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        while root[j] != j:
+            root[j] = j = root[root[j]]
+        if i != j:
+            root[j] = i
+            kept.append(k)
+    return nodes[code[kept] // max(1, len(nodes))], nodes[code[kept] % max(1, len(nodes))]
+
+
 def _star(signature: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each signature with its smallest node, and the distinct pairs of that node with the others."""
+    """Each signature with its smallest node, and a forest that joins all nodes of each signature.
+
+    A forest will do: where two nodes of one signature stay in different components, some pair on the path between
+    them failed, so both components are among those that failed pairs touch, and these are looked at again."""
     order = np.lexsort((node, signature))
     signature, node = signature[order], node[order]
     first = np.ones(len(node), bool)
     first[1:] = signature[1:] != signature[:-1]
     pivot = node[np.maximum.accumulate(np.where(first, np.arange(len(node)), 0))]
     other = pivot != node
-    pairs = np.unique(np.stack([pivot[other], node[other]], axis=1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-    return signature[first], node[first], pairs[:, 0], pairs[:, 1]
+    return signature[first], node[first], *forest(pivot[other], node[other])
+
+
+def fingerprint(s: np.ndarray) -> np.ndarray:
+    """A byte for each of as many cells as the set has elements, or up to twice as many: the sum of its elements'
+    hashes. Two cells add up to the one cell of half as many."""
+    bits = max(1, int(len(s) - 1).bit_length())
+    total = np.bincount((s >> U(64 - bits)).astype(np.int64), (mix(s) & U(255)).astype(float), 1 << bits)
+    return total.astype(np.int64).astype(np.uint8)
+
+
+def cells_apart(p: np.ndarray, q: np.ndarray) -> int:
+    """Cells in which two fingerprints differ: no more than the elements in which the sets differ."""
+    while len(p) > len(q):
+        p = p[::2] + p[1::2]
+    while len(q) > len(p):
+        q = q[::2] + q[1::2]
+    return int(np.count_nonzero(p != q))
 
 
 PACKED = "bucket int, kind int, a binary, b binary"
@@ -199,33 +241,49 @@ def members(docs: DataFrame, n: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) of wanted (node, doc_id)."""
+    """(node, size, shingles, print: the fingerprint) of wanted (node, wanted_id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(as_bytes(batch.column(1)), n)
-            rows = [(w, s.tobytes()) for w, s in zip(batch.column(0).to_pylist(), sets) if len(s) and node_of(s) == w]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "shingles"])
+            rows = [(w, len(s), s.tobytes(), fingerprint(s).tobytes()) for w, s in zip(batch.column(0).to_pylist(), sets) if len(s) and node_of(s) == w]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["node", "size", "shingles", "print"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, F.expr("doc_id <=> wanted_id")).select("node", "text")
-    return chosen.mapInArrow(run, "node long, shingles binary")
+    return chosen.mapInArrow(run, "node long, size long, shingles binary, print binary")
+
 
+def _sides(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """pairs with the columns of both nodes' sets."""
+    side = lambda end: sets.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{c}_{end}" for end in "ab" for c in columns])
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs with linked boolean."""
+
+def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs with near boolean: false where sizes or fingerprints show that a pair doesn't link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim = similarity(percent)
         for batch in batches:
-            linked = []
+            found = [sim.may_link(abs(m - n), m, n) and sim.may_link(cells_apart(np.frombuffer(p.as_buffer(), np.uint8), np.frombuffer(q.as_buffer(), np.uint8)), m, n) for m, p, n, q in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.bool_())], ["a", "b", "near"])
+
+    return _sides(pairs, sets, "size", "print").mapInArrow(run, "a long, b long, near boolean").distinct()
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs with linked boolean, from whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sim = similarity(percent)
+        for batch in batches:
+            found = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_py(), U), np.frombuffer(y.as_py(), U)
-                shared = len(p) + len(q) - len(np.union1d(p, q)) if sim.links(min(len(p), len(q)), len(p), len(q)) else 0
-                linked.append(shared > 0 and sim.links(shared, len(p), len(q)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+                both = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)]))
+                found.append(sim.links(int(np.count_nonzero(both[1:] == both[:-1])), len(both), 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.bool_())], ["a", "b", "linked"])
 
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean").distinct()
+    return _sides(pairs, sets, "shingles").mapInArrow(run, "a long, b long, linked boolean").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -244,38 +302,118 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+class Prints:
+    """Fingerprints of half as many cells as elements, or up to as many, four bits each, in one matrix for each width."""
+
+    def __init__(self, size: np.ndarray, packed: list[bytes]):
+        width = np.array([len(x) * 2 for x in packed])
+        self.width, self.row, self.matrix = width, np.zeros(len(packed), np.int64), {}
+        for w in np.unique(width).tolist():
+            own = np.flatnonzero(width == w)
+            flat = np.frombuffer(b"".join(packed[i] for i in own), np.uint8).reshape(len(own), -1)
+            self.matrix[w] = np.stack([flat & 15, flat >> 4], axis=2).reshape(len(own), -1)
+            self.row[own] = np.arange(len(own))
+
+    @staticmethod
+    def packed(print_: bytes) -> bytes:
+        p = np.frombuffer(print_, np.uint8)
+        p = p[::2] + p[1::2] if len(p) >= 4 else p
+        return ((p[::2] & 15) | (p[1::2] & 15) << 4).tobytes()
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Cells in which the prints of each pair differ."""
+        out = np.zeros(len(a), np.int64)
+        widths = np.stack([self.width[a], self.width[b]], axis=1)
+        for u, v in np.unique(widths, axis=0).tolist():
+            pairs = np.flatnonzero((widths[:, 0] == u) & (widths[:, 1] == v))
+            step = max(1, (1 << 22) // max(u, v))
+            for lo in range(0, len(pairs), step):
+                own = pairs[lo : lo + step]
+                p, q = self.matrix[u][self.row[a[own]]], self.matrix[v][self.row[b[own]]]
+                while p.shape[1] > q.shape[1]:
+                    p = (p[:, ::2] + p[:, 1::2]) & 15
+                while q.shape[1] > p.shape[1]:
+                    q = (q[:, ::2] + q[:, 1::2]) & 15
+                out[own] = np.count_nonzero(p != q, axis=1)
+        return out
+
+
+NODE = np.dtype([("node", "<i8"), ("component", "<i8"), ("size", "<i8")])
+
+
 def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int) -> DataFrame:
-    """Of sets (node, component, shingles): pairs (a, b) of nodes of different components that share a signature, a
-    being among the first to end nodes of the signature; open: whether nodes beyond end are left."""
-    wide = partitions(sets.sparkSession) * 4
+    """Of sets (node, component, shingles, print): distinct pairs (a, b) of different components that share a
+    signature, a being of rank first to end among its nodes, and that sizes and fingerprints don't rule out.
+
+    Fingerprints travel with the signatures, once for each task that has any of a node, and rule pairs out where
+    signatures meet: large groups of nodes that are alike but don't link give no rows."""
+    wide = partitions(sets.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim = similarity(percent)
         for batch in batches:
-            own, component, found = batch.column(0).to_numpy(), batch.column(1).to_numpy(), [sim.signatures(np.frombuffer(x, U)) for x in batch.column(2).to_pylist()]
-            sizes = [len(x) for x in found]
-            signature = np.concatenate(found)
-            rows = [(k, 0, x, y) for k, (x, y) in pack((signature % U(wide)).astype(np.int64), signature, np.stack([np.repeat(own, sizes), np.repeat(component, sizes)], axis=1))]
-            yield _packed(rows)
+            found = [sim.signatures(np.frombuffer(x.as_buffer(), U)) for x in batch.column(2)]
+            prints = [Prints.packed(x.as_buffer()) for x in batch.column(3)]
+            node = np.zeros(len(found), NODE)
+            node["node"], node["component"], node["size"] = batch.column(0), batch.column(1), [len(x) // 8 for x in batch.column(2).to_pylist()]
+            rows = []
+            if found:
+                signature = np.concatenate(found)
+                for k, (x, own) in pack((signature % U(wide)).astype(np.int64), signature, np.repeat(np.arange(len(found)), [len(x) for x in found])):
+                    used, place = np.unique(np.frombuffer(own, np.int64), return_inverse=True)
+                    rows.append((k, x, place.astype("<u4").tobytes(), node[used].tobytes(), [prints[i] for i in used]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary())))], ["bucket", "signatures", "places", "nodes", "prints"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = [], []
+        sim = similarity(percent)
+        signatures, places, nodes, prints, base = [], [], [], [], 0
         for batch in batches:
-            left += batch.column(2).to_pylist()
-            right += batch.column(3).to_pylist()
-        signature, pairs = np.frombuffer(b"".join(left), U), np.frombuffer(b"".join(right), np.int64).reshape(-1, 2)
-        order = np.lexsort((pairs[:, 0], signature))
-        signature, node, component = signature[order], pairs[order, 0], pairs[order, 1]
+            for x, place, node, p in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+                signatures.append(np.frombuffer(x, U))
+                places.append(np.frombuffer(place, "<u4").astype(np.int64) + base)
+                nodes.append(np.frombuffer(node, NODE))
+                prints += p
+                base += len(p)
+        if not nodes:
+            return
+        signature, node = np.concatenate(signatures), np.concatenate(nodes)
+        _, index, inverse = np.unique(node["node"], return_index=True, return_inverse=True)
+        node, at = node[index], inverse[np.concatenate(places)]
+        table = Prints(node["size"], [prints[i] for i in index])
+        order = np.lexsort((at, signature))
+        signature, at = signature[order], at[order]
+        component = node["component"][at]
         edges = np.concatenate([[0], np.flatnonzero(np.diff(signature)) + 1, [len(signature)]])
-        for a, b in zip(edges[:-1], edges[1:]):
-            if b - a > 1 and (component[a:b] != component[a]).any():
-                for i in range(a + first, min(a + end, b)):
-                    other = node[i + 1 : b][component[i + 1 : b] != component[i]]
-                    if len(other):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), node[i])), pa.array(other), pa.array(np.full(len(other), b - a > end))], ["a", "b", "open"])
-
-    packed = sets.select("node", "component", "shingles").mapInArrow(sign, PACKED)
-    return packed.repartition(partitions(sets.sparkSession), "bucket").mapInArrow(meet, "a long, b long, open boolean").groupBy("a", "b").agg(F.max("open").alias("open"))
+        size = node["size"]
+
+        def tested(codes: list[np.ndarray]) -> np.ndarray:
+            code = np.unique(np.concatenate(codes))
+            a, b = code // len(node), code % len(node)
+            may = lambda apart: apart * (100 + sim.percent) <= (size[a] + size[b]) * (100 - sim.percent)
+            keep = may(np.abs(size[a] - size[b]))
+            a, b = a[keep], b[keep]
+            return code[keep][may(table.apart(a, b))]
+
+        waiting, total, out = [], 0, []
+        mixed = np.flatnonzero(np.minimum.reduceat(component, edges[:-1]) != np.maximum.reduceat(component, edges[:-1]))
+        for lo, hi in zip(edges[mixed].tolist(), edges[mixed + 1].tolist()):
+            for i in range(lo + first, min(lo + end, hi)):
+                other = at[i + 1 : hi][component[i + 1 : hi] != component[i]]
+                waiting.append(at[i] * len(node) + other)
+                total += len(other)
+                if total > 1 << 18:
+                    out.append(tested(waiting))
+                    waiting, total = [], 0
+        if waiting:
+            out.append(tested(waiting))
+        if out:
+            code = np.unique(np.concatenate(out))
+            for lo in range(0, len(code), 1 << 15):
+                part = code[lo : lo + (1 << 15)]
+                yield pa.RecordBatch.from_arrays([pa.array(node["node"][part // len(node)]), pa.array(node["node"][part % len(node)])], ["a", "b"])
+
+    packed = sets.select("node", "component", "shingles", "print").mapInArrow(sign, "bucket int, signatures binary, places binary, nodes binary, prints array<binary>")
+    return packed.repartitionById(wide, F.col("bucket")).mapInArrow(meet, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
@@ -290,23 +428,19 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     pairs = cut(candidate_pairs(docs, percent, n))
     active = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = cut(sets_of(docs, active.join(nodes, "node").select("node", F.col("least").alias("wanted_id")), n))
-    tested = cut(verify(pairs, sets, percent))
-    edges = tested.where("linked").select("a", "b")
+    judged = cut(near(pairs, sets, percent))
+    edges = cut(linked(judged.where("near").select("a", "b"), sets, percent)).where("linked").select("a", "b")
     labels = components(edges)
-    first, end = 0, 8
-    while True:
+    for first, end in ROUNDS:
         at = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-        named = tested.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")).where("of_a <> of_b")
+        named = judged.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")).where("of_a <> of_b")
         apart = named.select(F.explode(F.array("of_a", "of_b")).alias("component")).distinct()
         placed = sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        more = cut(unresolved_pairs(placed.join(apart, "component", "left_semi"), percent, first, end))
-        found = cut(verify(more.select("a", "b"), sets, percent))
-        if found.where("linked").limit(1).count():
-            edges = edges.union(found.where("linked").select("a", "b"))
+        more = unresolved_pairs(placed.join(apart, "component", "left_semi"), percent, first, end)
+        found = cut(linked(more, sets, percent).where("linked"))
+        if found.limit(1).count():
+            edges = edges.union(found.select("a", "b"))
             labels = components(edges)
-        if not more.where("open").limit(1).count():
-            break
-        first, end = end, 3 * end
     placed = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     named = placed.join(least, "component").select("node", "component_id")
