@@ -312,7 +312,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     are one document, so neither removes the other. A null doc_id comes after all others. Texts may have up to 256 MB.
     Other columns are not read; an empty table gives an empty table.
     """
-    keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("text_key"), "text")
+    # Both joins take these columns and no others, so that the texts are dealt once and the exchange is used again.
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("text_key"), "text")
     found = cut(repeated_anchors(keyed.select("doc", "text_key", "text")))
     # The most frequent anchors, a few for each partition: only such can be more than a fair share of one task.
     often = found.where(F.col("frequent").isNotNull()).orderBy(F.desc("frequent"), "doc", "at").limit(4 * partitions(docs.sparkSession)).collect()
@@ -342,7 +343,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             columns = list(zip(*out)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return keyed.join(spans, "doc", "left").select("doc_id", "text_key", "text", "spans").mapInArrow(cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return keyed.join(spans, "doc", "left").select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "text_key", "text", "spans").mapInArrow(cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def op4_substrings(spark, sf_dir):
