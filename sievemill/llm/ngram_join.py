@@ -29,6 +29,8 @@ from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, mix,
 ENUMERATED = 40
 #: Nodes of a signature, by rank, that are compared with all others in other components, round by round; the last round leaves none.
 ROUNDS = ((0, 1), (1, 8), (8, 1 << 40))
+#: Signatures that meet in one task of these rounds, on average.
+SIGNATURES_A_TASK = 1 << 17
 FLUSH = 1 << 21
 U = np.uint64
 
@@ -131,11 +133,12 @@ def node_of(s: np.ndarray) -> int:
     return int(mix(mixed[:1] + mixed[1:] * U(3)).view(np.int64)[0])
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of pairs that repeat with each signature they share, a spanning forest of those that share most."""
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs that repeat with each signature they share, a spanning forest of those that share most, with how many they share."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
     code, count = np.unique(at[: len(a)] * len(nodes) + at[len(a) :], return_counts=True)
-    code = code[np.argsort(-count, kind="stable")]
+    order = np.argsort(-count, kind="stable")
+    code, count = code[order], count[order]
     root, kept = list(range(len(nodes))), []
     for k, (i, j) in enumerate(zip((code // max(1, len(nodes))).tolist(), (code % max(1, len(nodes))).tolist())):
         while root[i] != i:
@@ -145,14 +148,16 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if i != j:
             root[j] = i
             kept.append(k)
-    return nodes[code[kept] // max(1, len(nodes))], nodes[code[kept] % max(1, len(nodes))]
+    kept = np.array(kept, np.int64)
+    return nodes[code[kept] // max(1, len(nodes))], nodes[code[kept] % max(1, len(nodes))], count[kept].astype(np.int64)
 
 
-def _star(signature: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each signature with its smallest node, and a forest that joins all nodes of each signature.
+def _star(signature: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each signature with its smallest node, and a weighted forest that joins all nodes of each signature.
 
     A forest will do: where two nodes of one signature stay in different components, some pair on the path between
-    them failed, so both components are among those that failed pairs touch, and these are looked at again."""
+    them has its ends in different components, so both components are among those that such pairs touch, and these
+    are looked at again."""
     order = np.lexsort((node, signature))
     signature, node = signature[order], node[order]
     first = np.ones(len(node), bool)
@@ -179,25 +184,25 @@ def cells_apart(p: np.ndarray, q: np.ndarray) -> int:
     return int(np.count_nonzero(p != q))
 
 
-PACKED = "bucket int, kind int, a binary, b binary"
+PACKED = "bucket int, kind int, a binary, b binary, c binary"
 
 
-def _packed(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary())], ["bucket", "kind", "a", "b"])
+def _packed(rows: list[tuple[int, int, bytes, bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "kind", "a", "b", "c"])
 
 
 def candidate_pairs(docs: DataFrame, percent: int, n: int) -> DataFrame:
-    """Distinct (a, b) nodes: a tree over the nodes of each signature. A task sends on one node of a signature, so
-    no signature has more rows in one task than there are tasks before it."""
+    """(a, b, weight) of nodes: a tree over the nodes of each signature. A task sends on one node of a signature, so no
+    signature has more rows in one task than there are tasks before it."""
     wide = partitions(docs.sparkSession) * 4
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim, held, nodes, seen, total = similarity(percent), [], [], set(), 0
 
         def flush():
-            signature, node, a, b = _star(np.concatenate(held), np.repeat(np.array(nodes, np.int64), [len(x) for x in held]))
-            rows = [(k, 0, x, y) for k, (x, y) in pack((signature % U(wide)).astype(np.int64), signature, node)]
-            rows += [(k, 1, x, y) for k, (x, y) in pack(a % wide, a, b)]
+            signature, node, a, b, weight = _star(np.concatenate(held), np.repeat(np.array(nodes, np.int64), [len(x) for x in held]))
+            rows = [(k, 0, *x, b"") for k, x in pack((signature % U(wide)).astype(np.int64), signature, node)]
+            rows += [(k, 1, *x) for k, x in pack(a % wide, a, b, weight)]
             held.clear(), nodes.clear(), seen.clear()
             return _packed(rows)
 
@@ -215,18 +220,18 @@ def candidate_pairs(docs: DataFrame, percent: int, n: int) -> DataFrame:
             yield flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides: dict[int, list[tuple[bytes, bytes]]] = {0: [], 1: []}
+        sides: dict[int, list[tuple[bytes, bytes, bytes]]] = {0: [], 1: []}
         for batch in batches:
-            for kind, a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                sides[kind].append((a, b))
+            for kind, *x in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+                sides[kind].append(x)
         column = lambda k, i, t: np.frombuffer(b"".join(x[i] for x in sides[k]), t)
-        _, _, a, b = _star(column(0, 0, U), column(0, 1, np.int64))
-        a, b = np.concatenate([a, column(1, 0, np.int64)]), np.concatenate([b, column(1, 1, np.int64)])
+        own = _star(column(0, 0, U), column(0, 1, np.int64))[2:]
+        a, b, weight = (np.concatenate([x, column(1, i, np.int64)]) for i, x in enumerate(own))
         if len(a):
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(weight)], ["a", "b", "weight"])
 
-    return docs.select("text").mapInArrow(sign, PACKED).repartition(partitions(docs.sparkSession), "bucket").mapInArrow(meet, "a long, b long").distinct()
+    found = docs.select("text").mapInArrow(sign, PACKED).repartition(partitions(docs.sparkSession), "bucket").mapInArrow(meet, "a long, b long, weight long")
+    return found.groupBy("a", "b").agg(F.sum("weight").alias("weight"))
 
 
 def members(docs: DataFrame, n: int) -> DataFrame:
@@ -341,25 +346,57 @@ class Prints:
 NODE = np.dtype([("node", "<i8"), ("component", "<i8"), ("size", "<i8")])
 
 
-def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int) -> DataFrame:
-    """Of sets (node, component, shingles, print): distinct pairs (a, b) of different components that share a
-    signature, a being of rank first to end among its nodes, and that sizes and fingerprints don't rule out.
-
-    Fingerprints travel with the signatures, once for each task that has any of a node, and rule pairs out where
-    signatures meet: large groups of nodes that are alike but don't link give no rows."""
+def mixed_signatures(sets: DataFrame, percent: int) -> DataFrame:
+    """Of sets (node, component, shingles): (node, signatures) with those signatures that nodes of several components have."""
     wide = partitions(sets.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim = similarity(percent)
         for batch in batches:
             found = [sim.signatures(np.frombuffer(x.as_buffer(), U)) for x in batch.column(2)]
-            prints = [Prints.packed(x.as_buffer()) for x in batch.column(3)]
-            node = np.zeros(len(found), NODE)
-            node["node"], node["component"], node["size"] = batch.column(0), batch.column(1), [len(x) // 8 for x in batch.column(2).to_pylist()]
-            rows = []
             if found:
+                times = [len(x) for x in found]
                 signature = np.concatenate(found)
-                for k, (x, own) in pack((signature % U(wide)).astype(np.int64), signature, np.repeat(np.arange(len(found)), [len(x) for x in found])):
+                node, component = (np.repeat(batch.column(i).to_numpy(), times) for i in (0, 1))
+                yield _packed([(k, 0, *x) for k, x in pack((signature % U(wide)).astype(np.int64), signature, node, component)])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [x for batch in batches for x in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+        signature, node, component = (np.frombuffer(b"".join(x[i] for x in parts), t) for i, t in enumerate((U, np.int64, np.int64)))
+        if not len(signature):
+            return
+        order = np.argsort(signature, kind="stable")
+        signature, node, component = signature[order], node[order], component[order]
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(signature)) + 1])
+        mixed = np.minimum.reduceat(component, edges) != np.maximum.reduceat(component, edges)
+        own = np.flatnonzero(np.repeat(mixed, np.diff(np.append(edges, len(signature)))))
+        own = own[np.argsort(node[own], kind="stable")]
+        if len(own):
+            at = np.concatenate([[0], np.flatnonzero(np.diff(node[own])) + 1, [len(own)]])
+            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(signature[own].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[own][at[:-1]]), lists], ["node", "signatures"])
+
+    packed = sets.select("node", "component", "shingles").mapInArrow(sign, PACKED)
+    return packed.repartitionById(wide, F.col("bucket")).mapInArrow(meet, "node long, signatures array<long>").groupBy("node").agg(F.flatten(F.collect_list("signatures")).alias("signatures"))
+
+
+def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int, wide: int) -> DataFrame:
+    """Of sets (node, component, size, print, signatures): distinct pairs (a, b) of different components that share a
+    signature, a being of rank first to end among its nodes, and that sizes and fingerprints don't rule out.
+
+    Fingerprints travel with the signatures, once for each of wide tasks that has any of a node, and rule pairs out
+    where signatures meet: large groups of nodes that are alike but don't link give no rows."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [Prints.packed(x.as_buffer()) for x in batch.column(3)]
+            node = np.zeros(len(prints), NODE)
+            node["node"], node["component"], node["size"] = (batch.column(i) for i in range(3))
+            rows = []
+            if len(prints):
+                lists = batch.column(4)
+                signature = lists.flatten().to_numpy().view(U)
+                for k, (x, own) in pack((signature % U(wide)).astype(np.int64), signature, np.repeat(np.arange(len(prints)), lists.value_lengths().to_numpy())):
                     used, place = np.unique(np.frombuffer(own, np.int64), return_inverse=True)
                     rows.append((k, x, place.astype("<u4").tobytes(), node[used].tobytes(), [prints[i] for i in used]))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary())))], ["bucket", "signatures", "places", "nodes", "prints"])
@@ -412,7 +449,7 @@ def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int) -> Dat
                 part = code[lo : lo + (1 << 15)]
                 yield pa.RecordBatch.from_arrays([pa.array(node["node"][part // len(node)]), pa.array(node["node"][part % len(node)])], ["a", "b"])
 
-    packed = sets.select("node", "component", "shingles", "print").mapInArrow(sign, "bucket int, signatures binary, places binary, nodes binary, prints array<binary>")
+    packed = sets.select("node", "component", "size", "print", "signatures").mapInArrow(sign, "bucket int, signatures binary, places binary, nodes binary, prints array<binary>")
     return packed.repartitionById(wide, F.col("bucket")).mapInArrow(meet, "a long, b long").distinct()
 
 
@@ -428,15 +465,20 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     pairs = cut(candidate_pairs(docs, percent, n))
     active = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = cut(sets_of(docs, active.join(nodes, "node").select("node", F.col("least").alias("wanted_id")), n))
-    judged = cut(near(pairs, sets, percent))
-    edges = cut(linked(judged.where("near").select("a", "b"), sets, percent)).where("linked").select("a", "b")
+    # The heaviest pair of each node goes first; it mostly links, and few pairs are left between components.
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other"), "weight"), F.struct(F.col("b").alias("node"), F.col("a").alias("other"), "weight"))).alias("x")).select("x.*")
+    best = ends.groupBy("node").agg(F.max_by("other", F.struct("weight", "other")).alias("other")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    edges = cut(linked(near(best, sets, percent).where("near").select("a", "b"), sets, percent).where("linked")).select("a", "b")
     labels = components(edges)
+    at = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    named = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")).where("of_a <> of_b")
+    apart = named.select(F.explode(F.array("of_a", "of_b")).alias("component")).distinct()
+    placed = lambda: sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = cut(mixed_signatures(placed().join(apart, "component", "left_semi"), percent))
+    total = mixed.agg(F.sum(F.size("signatures"))).first()[0] or 0
+    wide = min(partitions(docs.sparkSession), 1 + total // SIGNATURES_A_TASK)
     for first, end in ROUNDS:
-        at = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-        named = judged.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")).where("of_a <> of_b")
-        apart = named.select(F.explode(F.array("of_a", "of_b")).alias("component")).distinct()
-        placed = sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        more = unresolved_pairs(placed.join(apart, "component", "left_semi"), percent, first, end)
+        more = unresolved_pairs(placed().join(mixed, "node"), percent, first, end, wide)
         found = cut(linked(more, sets, percent).where("linked"))
         if found.limit(1).count():
             edges = edges.union(found.select("a", "b"))
