@@ -10,7 +10,8 @@ from sievemill.llm.packing import op9_packing
 from sievemill.llm.quality import op7_quality
 from sievemill.llm.secrets import op8_secrets
 
+from sievemill.llm.tokens import op2_token_counts
 from sievemill.llm.substrings import op4_substrings
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_nearest, op4_substrings, op6_ngram_join, op7_quality, op8_secrets, op9_packing, op10_language_model)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_nearest, op4_substrings, op6_ngram_join, op7_quality, op8_secrets, op9_packing, op10_language_model)}
 ORACLE_SQL: dict[str, str] = {}
