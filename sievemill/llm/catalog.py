@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sievemill.llm.language_model import op10_language_model
+from sievemill.llm.line_dedup import OP5_SQL, op5_line_dedup
 from sievemill.llm.mixing import op1_mixing
 from sievemill.llm.nearest import op3_nearest
 from sievemill.llm.ngram_join import op6_ngram_join
@@ -13,5 +14,5 @@ from sievemill.llm.secrets import op8_secrets
 from sievemill.llm.tokens import op2_token_counts
 from sievemill.llm.substrings import op4_substrings
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_nearest, op4_substrings, op6_ngram_join, op7_quality, op8_secrets, op9_packing, op10_language_model)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_nearest, op4_substrings, op5_line_dedup, op6_ngram_join, op7_quality, op8_secrets, op9_packing, op10_language_model)}
+ORACLE_SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL}
