@@ -17,3 +17,64 @@ def exclude_duplicates(df: DataFrame, key: str, order: str, signature: str | Col
     mixed = F.min(signature).over(by_key) != F.max(signature).over(by_key)
     reason = F.when(F.col("_missing"), "missing").when(mixed, "conflict").when(first > 1, "duplicate")
     return split.withColumn("reason", reason).drop("_missing")
+
+
+def duplicate_report(df: DataFrame, key: str, order: str, signature: str, examples: int = 5) -> DataFrame:
+    """One row: groups, rows in them, groups with several signatures, and the first rows of the first groups."""
+    groups = df.groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("first"), (F.min(signature) != F.max(signature)).alias("mixed")).where("n > 1")
+    counts = groups.agg(F.count("*").alias("n_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if("mixed").alias("n_conflicting"))
+    firsts = groups.orderBy("first", key).limit(examples).agg(F.sort_array(F.collect_list("first")).alias("examples"))
+    return counts.join(F.broadcast(firsts))
+
+
+def first_by_normal_form(df: DataFrame, text: str, order: list[str]) -> DataFrame:
+    """The first row of each text, stripped and in lower case."""
+    w = Window.partitionBy(F.lower(F.trim(text))).orderBy(*order)
+    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def latest(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The last row of each key: an upsert of all rows in order."""
+    w = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])
+    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def ordered_distinct(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Distinct keys in the order in which they first occur."""
+    return df.groupBy(key).agg(F.min(order).alias("first")).orderBy("first")
+
+
+def distinct_passages(df: DataFrame, key: list[str], passage: str, order: str, limit: int = 7000) -> DataFrame:
+    """(key, text): a key's distinct passages in order, joined and cut off."""
+    parts = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(order, passage))), lambda x: x[passage]))
+    return df.where(F.col(passage) != "").groupBy(*key).agg(F.substring(F.array_join(parts, " "), 1, limit).alias("text"))
+
+
+def disjoint(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Keys that both have: none where they are disjoint."""
+    return a.select(key).intersect(b.select(key))
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 64) -> DataFrame:
+    """(node, component: the least node reachable) of undirected edges.
+
+    Each round takes the least label among neighbours and jumps to that label's own label, so that paths halve; the
+    labels are written to the checkpoint folder every round. Nodes without edges don't occur."""
+    from sievemill.sources.tables import cut
+
+    both = cut(edges.select(F.col(a).alias("node"), F.col(b).alias("other")).union(edges.select(b, a)).distinct())
+    labels = cut(both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")))
+    for _ in range(rounds):
+        near = both.join(labels.select(F.col("node").alias("other"), "component"), "other").groupBy("node").agg(F.min("component").alias("near"))
+        least = labels.join(near, "node").select("node", F.least("component", "near").alias("component"), F.col("component").alias("was"))
+        up = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        labels = cut(least.join(up, "component", "left").select("node", F.least("component", F.coalesce("up", "component")).alias("component"), "was"))
+        if labels.where("component <> was").isEmpty():
+            return labels.select("node", "component")
+        labels = labels.select("node", "component")
+    raise RuntimeError(f"labels still moved after {rounds} rounds")
+
+
+def group_digest(labels: DataFrame, node: str = "node", component: str = "component") -> DataFrame:
+    """(component, group_id): SHA-256 of the sorted members, a line each, so that the name follows from the members alone."""
+    return labels.groupBy(component).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.col(node).cast("string"))), "\n"), 256).alias("group_id"))

@@ -1,41 +1,8 @@
-"""Queries over the driver's tables, each with its DuckDB SQL where SQL can express it."""
+"""All queries over the driver's tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from sievemill.plans import curation, measures  # noqa: F401  they register their queries
+from sievemill.plans.registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from sievemill.operators import group
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query("""
-with j as (select d.doc_id, sha256(lower(trim(d.text, ' '))) k, d.source sig, l.quality lab
-           from documents d left join labels l using (doc_id)),
-     e as (select doc_id, k, count(distinct sig) over (partition by k) n,
-                  row_number() over (partition by k order by doc_id) rn from j where lab is not null)
-select doc_id, cast(case when n > 1 then 'conflict' when rn > 1 then 'duplicate' end as varchar) reason from e
-union all select doc_id, 'missing' from j where lab is null""")
-def exclude_dup_conflict(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2(F.lower(F.trim("text")), 256).alias("k"))
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    rows = docs.join(labels, "doc_id", "left")
-    return group.exclude_duplicates(rows, key="k", order="doc_id", signature="source", missing=F.col("quality").isNull()).select("doc_id", "reason")
+__all__ = ["ORACLE_SQL", "QUERIES"]
