@@ -50,6 +50,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tuck(docs: DataFrame, *names: str) -> DataFrame:
+    """docs as names and _rest, a struct of all other columns, so that columns added meanwhile clash with none of them."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return docs.select(*names, (F.struct(*others) if others else F.struct(F.lit(0).alias("none"))).alias("_rest"))
+
+
+def untuck(tucked: DataFrame, columns: list[str], *names: str) -> DataFrame:
+    return tucked.select(*[F.col(c) if c in names else F.col(f"_rest.`{c}`") for c in columns])
+
+
 def word_count(text):
     """Words of a string column, counted in the JVM; null counts as 0."""
     return F.coalesce(F.size(F.filter(F.split(text, SPACES), lambda w: w != "")), F.lit(0)).cast("long")

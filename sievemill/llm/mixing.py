@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import word_count
+from sievemill.llm.common import tuck, untuck, word_count
 
 KEY_BUCKETS = 1024
 
@@ -48,7 +48,8 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), cap: in
 
 
 def mix(df: DataFrame, size: str, weight: str, identity: str = "doc_id", source: str = "source", cycle: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 17) -> DataFrame:
-    """df with source_size, target, copies and taken (copies * size); all rows and columns stay.
+    """df with source_size, target, copies and taken (copies * size), which replace columns of these names; all rows and
+    other columns stay.
 
     Nulls: a null source is a source of its own, last in order; a null identity draws the key of null. Rows of size 0
     take 0 words. Equal rows draw equal keys and tie; which of them falls to the boundary is immaterial. An empty table
@@ -81,6 +82,13 @@ def with_size_and_weight(docs: DataFrame) -> DataFrame:
     return sized.withColumn("weight", quality_weight(F.col("text"), F.col("size")))
 
 
+def repeat_documents(docs: DataFrame) -> DataFrame:
+    """Each row of docs (doc_id, source, text and others) as many times as the mix takes it; other columns may have any names."""
+    tucked = with_size_and_weight(tuck(docs, "doc_id", "source", "text"))
+    taken = mix(tucked, "size", "weight").where("copies > 0")
+    return untuck(taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))), docs.columns, "doc_id", "source", "text")
+
+
 def op1_mixing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     slim = with_size_and_weight(docs).select("doc_id", "source", "size", "weight")

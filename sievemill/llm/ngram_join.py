@@ -495,7 +495,7 @@ def keep_one(docs: DataFrame, percent: int = 80, n: int = 5) -> DataFrame:
     without words or without doc_id stay."""
     joined = join(docs, percent, n)
     gone = joined.where((F.col("component_id") != F.col("doc_id")) & (F.col("n_shingles") > 0)).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_ngram_join(spark, sf_dir):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes
+from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, tuck, untuck
 
 ACCURACY = 0.01
 #: metric: (smallest spread that counts, spreads above the median at which a document is rejected, and below it or None).
@@ -59,18 +59,19 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
 
 
 def features(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with the BASE columns; a null text has no words and no lines."""
-    schema = T.StructType([f for f in df.schema if f.name not in BASE] + [T.StructField(c, T.LongType()) for c in BASE])
-    keep = [f.name for f in schema][: -len(BASE)]
+    """df with the BASE columns, in place of any of these names; a null text has no words and no lines."""
+    tucked = tuck(df, text)
+    schema = T.StructType([*tucked.schema, *[T.StructField(c, T.LongType()) for c in BASE]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column(text))
+            texts = as_bytes(batch.column(0))
             found = [measure(texts[a:b]) for a, b in chunks([len(t) for t in texts])]
             new = [pa.array(np.concatenate([f[c] for f in found]) if found else [], pa.int64()) for c in BASE]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new], [*keep, *BASE])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema.names)
 
-    return df.mapInArrow(run, schema)
+    made = tucked.mapInArrow(run, schema)
+    return made.select(*[F.col(f"`{c}`") if c == text else F.col(f"_rest.`{c}`") for c in df.columns if c not in BASE], *BASE)
 
 
 def metrics() -> dict[str, Column]:
@@ -145,10 +146,12 @@ def judge(rows: DataFrame, fences: DataFrame) -> DataFrame:
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns of docs. Null text: rejected, as it has no words. Null lang or source:
-    a group of its own. Repeated rows are judged alike. An empty table gives an empty table."""
+    a group of its own. Repeated rows are judged alike. Other columns may have any names. An empty table gives an empty
+    table."""
+    tucked = tuck(docs, "text", "lang", "source")
     slim = features(docs.select("text", "lang", "source")).drop("text")
     fences = cut(thresholds(cut(slim)))
-    return judge(features(docs), fences).where("kept").select(*docs.columns)
+    return untuck(judge(features(tucked), fences).where("kept"), docs.columns, "text", "lang", "source")
 
 
 def op7_quality(spark, sf_dir):
