@@ -5,11 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sievemill.llm.common import documents, shared_dir
-from sievemill.llm.line_dedup import drop_lines
-from sievemill.llm.mixing import mix, with_size_and_weight
+from sievemill.llm.line_dedup import clean_documents
+from sievemill.llm.mixing import repeat_documents
 from sievemill.llm.ngram_join import keep_one
 from sievemill.llm.packing import pack_documents
 from sievemill.llm.quality import filter_documents
@@ -22,8 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of templates that recur across documents go; n_chars follows the text."""
-    cleaned = drop_lines(docs)
-    return cleaned.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return clean_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as its source's target takes it."""
-    taken = mix(with_size_and_weight(docs), "size", "weight").where("copies > 0")
-    return taken.select(F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"), *docs.columns).drop("_copy")
+    return repeat_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

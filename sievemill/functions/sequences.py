@@ -40,7 +40,7 @@ def proteins(seq: Column) -> Column:
     table = codon_table()
 
     def translate(start: Column) -> Column:
-        codons = F.transform(F.sequence(F.lit(0), (F.length(seq) - start - 3).cast("int") / 3), lambda k: F.substring(seq, start + 1 + 3 * k.cast("int"), F.lit(3)))
+        codons = F.transform(F.sequence(F.lit(0), ((F.length(seq) - start - 3) / 3).cast("int")), lambda k: F.substring(seq, start + 1 + 3 * k, F.lit(3)))
         return F.array_join(F.transform(codons, lambda c: table[c]), "")
 
     whole = F.transform(match_positions(seq, F.lit("ATG")), translate)

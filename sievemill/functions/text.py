@@ -69,7 +69,7 @@ def option_list(options: Column) -> Column:
 
 def choices_text(choices: Column) -> Column:
     """array<string> as a block headed Choices:, empty without choices."""
-    return F.when(F.coalesce(F.size(choices), F.lit(0)) > 0, F.concat(F.lit("Choices:\n"), F.array_join(F.transform(choices, F.trim), "\n"))).otherwise(F.lit(""))
+    return F.when(F.coalesce(F.size(choices), F.lit(0)) > 0, F.concat(F.lit("Choices:\n"), F.array_join(F.transform(choices, lambda x: F.trim(x)), "\n"))).otherwise(F.lit(""))
 
 
 def bullet_list(groups: Column) -> Column:
@@ -124,7 +124,7 @@ def figure_labels(body: Column) -> Column:
 
 def figure_images(body: Column) -> Column:
     """Distinct image arguments in first order."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(r"\\(?:includegraphics(?:\[[^\]]*\])?|input)\s*\{([^}]+)\}"), 1), F.trim))
+    return F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(r"\\(?:includegraphics(?:\[[^\]]*\])?|input)\s*\{([^}]+)\}"), 1), lambda x: F.trim(x)))
 
 
 def canonical_json(value: Column) -> Column:

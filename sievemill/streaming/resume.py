@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def timed(stream: DataFrame, time: str, delay: str) -> DataFrame:
+    """A watermark on time, which may be without a zone."""
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+
+
 def first_of_key(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     """The first row of each key within delay; state older than that is let go."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    return timed(stream, time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def windowed_counts(stream: DataFrame, time: str, key: str, delay: str, width: str, slide: str | None = None) -> DataFrame:
     """(start, end, key, n) of each window once the watermark has passed it."""
     window = F.window(time, width, slide) if slide else F.window(time, width)
-    return stream.withWatermark(time, delay).groupBy(window.alias("w"), key).agg(F.count("*").alias("n")).select("w.start", "w.end", key, "n")
+    return timed(stream, time, delay).groupBy(window.alias("w"), key).agg(F.count("*").alias("n")).select("w.start", "w.end", key, "n")
 
 
 def process_new(batch: DataFrame, log_path: str, key: str) -> None:
