@@ -52,7 +52,7 @@ def containment_groups(df: DataFrame, identity: str, sequence: str) -> DataFrame
     """(identity, group_id): sequences that contain one another, also as reverse complement, are one group, transitively."""
     base = df.select(F.col(identity).alias("node"), F.col(sequence).alias("s"))
     short = base.select(F.col("node").alias("part"), F.explode(F.array_distinct(F.array("s", seq.reverse_complement(F.col("s"))))).alias("q"))
-    edges = joins.containment_join(base, short, "s", "q").where("node <> part").select(F.col("node").alias("a"), F.col("part").alias("b"))
+    edges = joins.containment_join(base, short, "s", "q", ["node"], ["part", "q"]).where("node <> part").select(F.col("node").alias("a"), F.col("part").alias("b"))
     return _named(base, edges, identity)
 
 

@@ -61,22 +61,22 @@ def prefix_join(left: DataFrame, right: DataFrame, name: str, delimiter: str, ke
     return left.withColumn(key, F.substring_index(F.col(name), delimiter, 1)).join(right, key)
 
 
-def containment_join(long: DataFrame, short: DataFrame, long_text: str, short_text: str, k: int = 16, step: int = 16) -> DataFrame:
+def containment_join(long: DataFrame, short: DataFrame, long_text: str, short_text: str, long_keys: list[str], short_keys: list[str], k: int = 16) -> DataFrame:
     """Pairs where short_text is a substring of long_text.
 
-    Every occurrence of a string of 2 * step - 1 + k - step characters or more holds a k-gram that starts at a
-    multiple of step in the long text, so the long side gives n / step grams, and the short side its first step grams;
-    pairs that share one are checked. Shorter strings are matched by all grams of their own length, length by length.
+    The long text is cut into blocks of k characters, in one pass. Every occurrence of a string of 2k - 1 characters or
+    more holds a whole block, which is one of the string's first k k-grams. Keys and blocks meet; texts join the pairs
+    that share one and are checked. Shorter strings hold no whole block for sure and are checked against every text.
     """
-    reach = k + step - 1
-    grams = lambda text, starts: F.transform(starts, lambda i: F.substring(text, i, F.lit(k)))
-    t, s = F.col(long_text), F.col(short_text)
-    right = short.withColumn("_gram", F.explode(F.array_distinct(grams(s, F.sequence(F.lit(1), F.lit(step)))))).where(F.length(s) >= reach)
-    left = long.where(F.length(t) >= reach).withColumn("_gram", F.explode(F.array_distinct(grams(t, F.sequence(F.lit(1), F.length(t) - k + 1, F.lit(step))))))
-    blocked = left.join(right, "_gram").where(t.contains(s)).drop("_gram").distinct()
+    t, s, reach = F.col(long_text), F.col(short_text), 2 * k - 1
+    grams = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.substring(s, i, F.lit(k)))
+    right = short.where(F.length(s) >= reach).select(*short_keys, F.explode(F.array_distinct(grams)).alias("_gram"))
+    blocks = F.array_distinct(F.regexp_extract_all(t, F.lit(f"(?s).{{{k}}}"), 0))
+    left = long.where(F.length(t) >= reach).select(*long_keys, F.explode(blocks).alias("_gram"))
+    pairs = left.join(right, "_gram").select(*long_keys, *short_keys).distinct()
+    blocked = pairs.join(long, long_keys).join(short, short_keys).where(t.contains(s)).select(*long.columns, *short.columns)
     tiny = short.where((F.length(s) < reach) & (F.length(s) > 0))
-    small = long.join(tiny, t.contains(s))  # strings under reach characters have no gram to meet by
-    return blocked.unionByName(small)
+    return blocked.unionByName(long.join(tiny, t.contains(s)))
 
 
 def passages_around(documents: DataFrame, labels: DataFrame, group: str, text: str, label: str, reach: int = 2200) -> DataFrame:

@@ -244,7 +244,7 @@ def missing_ids(spark, sf_dir):
 def containment_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
-    return joins.containment_join(docs, items, "text", "item").select("doc_id", "item_id")
+    return joins.containment_join(docs, items, "text", "item", ["doc_id"], ["item_id"]).select("doc_id", "item_id")
 
 
 @query("select c_custkey, c_name, n_name from customer join nation on n_nationkey = c_nationkey where c_mktsegment = 'BUILDING'")

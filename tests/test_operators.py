@@ -73,7 +73,7 @@ def test_containment(spark):
     short = [x[i : i + n] for x in long if len(x) > 50 for i, n in [(rng.randint(0, 20), rng.choice([1, 12, 31, 40]))]] + ["", "zz"]
     left = spark.createDataFrame(list(enumerate(long)), "i int, t string")
     right = spark.createDataFrame(list(enumerate(short)), "j int, s string")
-    found = {(r["i"], r["j"]) for r in joins.containment_join(left, right, "t", "s").collect()}
+    found = {(r["i"], r["j"]) for r in joins.containment_join(left, right, "t", "s", ["i"], ["j"]).collect()}
     assert found == {(i, j) for (i, t), (j, s) in itertools.product(enumerate(long), enumerate(short)) if s and s in t}
 
 
