@@ -114,3 +114,10 @@ def unfinished(df: DataFrame, *done: DataFrame, key: str) -> DataFrame:
     for log in done:
         df = df.join(log.select(key), key, "left_anti")
     return df
+
+
+def redrawn_difference(frozen: DataFrame, redrawn: DataFrame, key: str) -> DataFrame:
+    """Keys that only one of a frozen sample and its repetition has; empty where the draw reproduces."""
+    from sievemill.operators.joins import keys_match
+
+    return keys_match(frozen, redrawn, key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievemill.functions import sequences
-from sievemill.operators import aggregate, group, joins, project, sample, validate
+from sievemill.operators import aggregate, curate, group, joins, project, sample, validate
 from sievemill.plans.registry import dna, dna_sql, query, table
 
 _KEYED = """j as (select d.doc_id, sha256(lower(trim(d.text, ' '))) k, d.source, cast(l.quality as varchar) quality
@@ -57,30 +57,29 @@ def ordered_event_types(spark, sf_dir):
     return group.ordered_distinct(table(spark, sf_dir, "events"), "event_type", "event_id")
 
 
-@query("""with p as (select conv_id, turn, substr(text, 1, 60) passage, row_number() over (partition by conv_id, substr(text, 1, 60) order by turn) n from conversations where text <> '')
-select conv_id, substr(string_agg(passage, ' ' order by turn), 1, 200) as text from p where n = 1 group by conv_id""")
+@query("""with p as (select conv_id, turn, text passage, row_number() over (partition by conv_id, text order by turn) n from conversations where text <> '')
+select conv_id, substr(string_agg(passage, ' ' order by turn), 1, 7000) as text from p where n = 1 group by conv_id""")
 def distinct_passages(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.substring("text", 1, 60).alias("passage"))
-    return group.distinct_passages(turns, ["conv_id"], "passage", "turn", 200)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("passage"))
+    return group.distinct_passages(turns, ["conv_id"], "passage", "turn")
 
 
-@query("""with k as (select doc_id, least(s, reverse(translate(s, 'ACGT', 'TGCA'))) c from (select doc_id, """ + dna_sql(length=40) + """ s from documents))
+@query("""with k as (select doc_id, least(s, reverse(translate(s, 'ACGT', 'TGCA'))) c from (select doc_id, """ + dna_sql() + """ s from documents))
 select sha256(c) sequence_id, count(*) n, min(doc_id) first_doc from k group by c""")
 def canonical_sequences(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", sequences.canonical_orientation(dna(F.col("text"), length=40)).alias("c"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", sequences.canonical_orientation(dna(F.col("text"))).alias("c"))
     return docs.groupBy(F.sha2("c", 256).alias("sequence_id")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
-_EDGES = "select distinct n_nationkey a, s_suppkey + 100 b from nation join supplier on s_nationkey = n_nationkey where s_suppkey % 3 = 0 union select s_suppkey + 100, c_custkey + 100000 from supplier join customer on c_nationkey = s_nationkey where c_custkey % 50 = 0 and s_suppkey % 7 = 0"
+_EDGES = "select n_nationkey a, 100 + s_suppkey b from {n} join {s} on s_nationkey = n_nationkey union all select n_nationkey, 100000000 + c_custkey from {n} join {c} on c_nationkey = n_nationkey"
 
 
-@query(f"""with recursive e as ({_EDGES}), b as (select a, b from e union select b, a from e),
+@query(f"""with recursive e as ({_EDGES.format(n="nation", s="supplier", c="customer")}), b as (select a, b from e union select b, a from e),
  r(node, reach) as (select a, a from b union select r.node, b.b from r join b on b.a = r.reach)
 select cast(node as bigint) node, cast(min(reach) as bigint) component from r group by node""")
 def components(spark, sf_dir):
-    for name in ("nation", "supplier", "customer"):
-        table(spark, sf_dir, name).createOrReplaceTempView(f"_{name}")
-    edges = spark.sql(_EDGES.replace("from nation join supplier", "from _nation join _supplier").replace("from supplier join customer", "from _supplier join _customer"))
+    tables = {k[0]: table(spark, sf_dir, k) for k in ("nation", "supplier", "customer")}
+    edges = spark.sql(_EDGES, **tables)
     return group.components(edges.select(F.col("a").cast("long"), F.col("b").cast("long")))
 
 
@@ -95,6 +94,27 @@ def copy_group_digests(spark, sf_dir):
     return group.group_digest(group.components(docs.join(first, "k").where("doc_id <> a").select("a", F.col("doc_id").alias("b"))))
 
 
+_CONTAINED = """with recursive s as (select item_id node, """ + dna_sql() + """ s from benchmark), q as (select node, s from s union select node, reverse(translate(s, 'ACGT', 'TGCA')) from s),
+ b as (select distinct s.node a, q.node b from s join q on contains(s.s, q.s) where s.node <> q.node), e as (select a, b from b union select b, a from b),
+ r(node, reach) as (select node, node from s union select r.node, e.b from r join e on e.a = r.reach), l as (select node, min(reach) c from r group by node),
+ g as (select c, sha256(string_agg(cast(node as varchar), chr(10) order by cast(node as varchar))) group_id from l group by c)
+select node as item_id, group_id from l join g using (c)"""
+
+
+@query(_CONTAINED)
+def containment_groups(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark").select("item_id", dna(F.col("text")).alias("s"))
+    return curate.containment_groups(items, "item_id", "s")
+
+
+@query("select item_id, true as valid from benchmark")
+def computed_gold(spark, sf_dir):
+    s = dna(F.col("text"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("GC percent of "), s).alias("q"), sequences.gc_percent(s).cast("string").alias("ideal"))
+    checked = curate.computed_gold(F.lit("Prop-seq-gcpercent"), F.col("q"), F.col("ideal"), F.array(F.lit("none")))
+    return items.select("item_id", checked["valid"].alias("valid"))
+
+
 @query("select source from documents where lang = 'de' intersect select source from documents where lang = 'es'")
 def shared_sources(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -79,11 +79,15 @@ def id_normalize(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.normalize_paper_id(raw).alias("paper_id"))
 
 
-@query("""select doc_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace('\\textbf{' || text || '} \\cite{a} \\alpha x', '\\\\(?:cite|citep|citet|footnote)\\s*\\{[^}]*\\}', '', 'g'),
- '\\\\(?:textbf|textit|emph|mathrm|mathbf|operatorname)\\s*', '', 'g'), '\\\\[a-zA-Z]+\\*?(?:\\[[^\\]]*\\])?\\s*', '', 'g'), '[{}]', '', 'g'), '\\s+', ' ', 'g'), ' '), 1, 500) cleaned from documents where not contains(text, '%')""")
+_TEX = """select doc_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace('\\textbf{' || text || '} \\cite{a} \\alpha x', '(^|[^\\\\])%[^\\n]*', '\\1', 'g'),
+ '\\\\(?:cite|citep|citet|footnote)\\s*\\{[^}]*\\}', '', 'g'), '\\\\(?:textbf|textit|emph|mathrm|mathbf|operatorname)\\s*', '', 'g'),
+ '\\\\[a-zA-Z]+\\*?(?:\\[[^\\]]*\\])?\\s*', '', 'g'), '[{}]', '', 'g'), '\\s+', ' ', 'g'), ' '), 1, 12000) cleaned from documents"""
+
+
+@query(_TEX)
 def tex_clean(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where("not contains(text, '%')")
-    return docs.select("doc_id", text.clean_tex(F.concat(F.lit("\\textbf{"), F.col("text"), F.lit("} \\cite{a} \\alpha x")), 500).alias("cleaned"))
+    raw = F.concat(F.lit("\\textbf{"), F.col("text"), F.lit("} \\cite{a} \\alpha x"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.clean_tex(raw).alias("cleaned"))
 
 
 @query("select page_id, regexp_replace(url, '[^A-Za-z0-9_.-]', '_', 'g') as name, 'case-' || lpad(cast(page_id as varchar), 6, '0') id6, 'm-' || substr(sha256(url), 1, 20) hashed, cast(page_id as varchar) || ':' || url as joined from pages")
@@ -108,7 +112,7 @@ def presence_flags(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", *text.presence_flags(F.col("text"), {"secret": r"\bsecret\b", "licence": "licen[cs]e"}))
 
 
-_S, _T = dna_sql(), dna_sql(start=4)
+_S = dna_sql()
 
 
 @query(f"select doc_id, reverse(translate(s, 'ACGT', 'TGCA')) rc, case when length(s) > 0 then cast((200 * len(regexp_extract_all(s, '[GC]')) + length(s)) // (2 * length(s)) as bigint) end gc from (select doc_id, {_S} s from documents)")
@@ -117,37 +121,43 @@ def reverse_complement(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", sequences.reverse_complement(s).alias("rc"), sequences.gc_percent(s).alias("gc"))
 
 
-@query(f"""with p as (select doc_id, {_S} a, substr({_T} || {_S}, 1, 120) b from documents), q as (select *, list_filter(range(1, least(length(a), length(b)) + 1), lambda i: substr(a, i, 1) <> substr(b, i, 1)) w from p)
-select doc_id, case when length(a) = length(b) then len(w) end distance, case when a <> b then coalesce(w[1] - 1, least(length(a), length(b))) end first_at from q""")
+def _turned(s):
+    """The sequence without its first three letters, which go to the end."""
+    return F.concat(F.substring(s, F.lit(4), F.length(s)), F.substring(s, 1, 3))
+
+
+@query(f"""with p as (select item_id, s a, substr(s, 4) || substr(s, 1, 3) b from (select item_id, {_S} s from benchmark)), q as (select *, list_filter(range(1, least(length(a), length(b)) + 1), lambda i: substr(a, i, 1) <> substr(b, i, 1)) w from p)
+select item_id, case when length(a) = length(b) then len(w) end distance, case when a <> b then coalesce(w[1] - 1, least(length(a), length(b))) end first_at from q""")
 def hamming_diff(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", dna(F.col("text")).alias("a"), F.substring(F.concat(dna(F.col("text"), start=4), dna(F.col("text"))), 1, 120).alias("b"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", dna(F.col("text")).alias("a")).withColumn("b", _turned(F.col("a")))
     a, b = F.col("a"), F.col("b")
-    return docs.select("doc_id", sequences.hamming(a, b).cast("long").alias("distance"), sequences.first_difference(a, b).cast("long").alias("first_at"))
+    return items.select("item_id", sequences.hamming(a, b).cast("long").alias("distance"), sequences.first_difference(a, b).cast("long").alias("first_at"))
 
 
 @query()
 def change_classes(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", dna(F.col("text"), length=200).alias("a"))
-    kinds = F.when(F.col("doc_id") % 3 == 0, F.col("a")).when(F.col("doc_id") % 3 == 1, F.concat(F.substring("a", 1, 50), F.lit("ACGTT"), F.substring("a", 51, 200))).otherwise(F.concat(F.substring("a", 1, 50), F.substring("a", 54, 200)))
-    return docs.select("doc_id", sequences.classify_change(F.col("a"), kinds).alias("c")).select("doc_id", "c.*")
+    items = table(spark, sf_dir, "benchmark").select("item_id", dna(F.col("text")).alias("a"))
+    a = F.col("a")
+    changed = F.when(F.col("item_id") % 3 == 0, a).when(F.col("item_id") % 3 == 1, F.concat(F.substring(a, 1, 50), F.lit("ACGTT"), F.substring(a, F.lit(51), F.length(a)))).otherwise(F.concat(F.substring(a, 1, 50), F.substring(a, F.lit(54), F.length(a))))
+    return items.select("item_id", sequences.classify_change(a, changed).alias("c")).select("item_id", "c.*")
 
 
-@query(f"select doc_id, array_to_string(list_filter(range(0, length(s) - 2), lambda i: substr(s, i + 1, 3) = 'ATG'), ',') starts from (select doc_id, {_S} s from documents)")
+@query(f"select item_id, array_to_string(list_filter(range(0, length(s) - 2), lambda i: substr(s, i + 1, 3) = 'ATG'), ',') starts from (select item_id, {_S} s from benchmark)")
 def match_positions(spark, sf_dir):
     found = sequences.match_positions(dna(F.col("text")), F.lit("ATG"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(found, lambda i: i.cast("string")), ",").alias("starts"))
+    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.transform(found, lambda i: i.cast("string")), ",").alias("starts"))
 
 
 @query()
 def reading_frames(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", sequences.complete_proteins(dna(F.col("text"), length=400)).alias("p"))
-    return docs.select("doc_id", F.size("p").alias("n"), sequences.longest_unique(F.col("p")).alias("longest"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", sequences.complete_proteins(dna(F.col("text"))).alias("p"))
+    return items.select("item_id", F.size("p").alias("n"), sequences.longest_unique(F.col("p")).alias("longest"))
 
 
 @query()
 def alignment_identity(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where("doc_id < 200").select("doc_id", dna(F.col("text"), length=80).alias("a"), dna(F.col("text"), start=3, length=80).alias("b"))
-    return docs.select("doc_id", sequences.alignment("a", "b").alias("x")).select("doc_id", "x.*")
+    items = table(spark, sf_dir, "benchmark").select("item_id", dna(F.col("text")).alias("a")).withColumn("b", _turned(F.col("a")))
+    return items.select("item_id", sequences.alignment("a", "b").alias("x")).select("item_id", "x.*")
 
 
 @query(f"select doc_id, regexp_matches(s, '[^ACGT]') other_than_acgt, regexp_matches(s, '[^ACGTN]') other_than_acgtn, ends_with(s, 'N') and not contains(rtrim(s, 'N'), 'N') n_tail from (select doc_id, case when doc_id % 2 = 0 then {_S} || 'NN' else {_S} end s from documents)")
@@ -170,9 +180,9 @@ def parsed_choices(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(literals.parse_choices(raw), "|").alias("choices"))
 
 
-@query("select item_id, trim(substr(text, 1, 20)) as answer from benchmark")
+@query("select item_id, trim(text) as answer from benchmark")
 def boxed_extract(spark, sf_dir):
-    reply = F.concat(F.lit("so \\boxed{wrong} then $\\boxed{"), F.substring("text", 1, 20), F.lit("}$"))
+    reply = F.concat(F.lit("so \\boxed{wrong} then $\\boxed{"), F.col("text"), F.lit("}$"))
     return table(spark, sf_dir, "benchmark").select("item_id", literals.boxed_answer(reply).alias("answer"))
 
 

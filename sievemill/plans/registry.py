@@ -25,11 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dna(text, start: int = 1, length: int = 120):
-    """A DNA-like string out of a text's letters."""
+def dna(text):
+    """A DNA-like string out of all letters of a text."""
     letters = F.regexp_replace(F.lower(text), "[^a-z]", "")
-    return F.substring(F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC"), start, length)
+    return F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
 
 
-def dna_sql(text: str = "text", start: int = 1, length: int = 120) -> str:
-    return f"substr(translate(regexp_replace(lower({text}), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), {start}, {length})"
+def dna_sql(text: str = "text") -> str:
+    return f"translate(regexp_replace(lower({text}), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
