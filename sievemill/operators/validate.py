@@ -146,11 +146,14 @@ def zero_checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
 
 
 def flag_positions(df: DataFrame, flags: dict[str, Column], index: str) -> DataFrame:
-    """(flag, n, positions): rows of each flag; positions is null where all rows have it."""
-    long = df.select(F.col(index).alias("_i"), F.explode(F.array_compact(F.array(*[F.when(c, n) for n, c in flags.items()]))).alias("flag"))
-    total = df.agg(F.count("*").alias("total"))
-    grouped = long.groupBy("flag").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_i")).alias("positions"))
-    return grouped.join(F.broadcast(total)).select("flag", "n", F.when(F.col("n") < F.col("total"), F.col("positions")).alias("positions"))
+    """(flag, n, position): a row for each row that has a flag; for a flag that all rows have, one row without position.
+
+    Positions stay rows, so that a frequent flag isn't gathered in one task; the counts are a row a flag."""
+    counts = df.agg(F.count("*").alias("total"), *[F.count_if(c).alias(f"_{n}") for n, c in flags.items()])
+    each = counts.select("total", F.explode(F.array(*[F.struct(F.lit(n).alias("flag"), F.col(f"_{n}").alias("n")) for n in flags])).alias("x")).select("x.*", "total").where("n > 0")
+    long = df.select(F.col(index).alias("position"), F.explode(F.array_compact(F.array(*[F.when(c, n) for n, c in flags.items()]))).alias("flag"))
+    some = long.join(F.broadcast(each.where("n < total")), "flag").select("flag", "n", "position")
+    return some.unionByName(each.where("n = total").select("flag", "n", F.lit(None).cast(df.schema[index].dataType).alias("position")))
 
 
 def same_content(content: Column, sha256: Column, size: Column) -> Column:

@@ -300,11 +300,11 @@ def valid_rows(spark, sf_dir):
 _FLAGS = {"long": "n_chars > 6000", "digits": "text rlike '[0-9]{6}'", "any": "n_chars > 0"}
 
 
-@query("""with f as (select doc_id, unnest(list_filter([case when n_chars > 6000 then 'long' end, case when regexp_matches(text, '[0-9]{6}') then 'digits' end, case when n_chars > 0 then 'any' end], lambda x: x is not null)) flag from documents)
-select flag, count(*) n, case when count(*) < (select count(*) from documents) then array_to_string(list(doc_id order by doc_id), ',') end positions from f group by flag""")
+@query("""with f as (select doc_id, unnest(list_filter([case when n_chars > 6000 then 'long' end, case when regexp_matches(text, '[0-9]{6}') then 'digits' end, case when n_chars > 0 then 'any' end], lambda x: x is not null)) flag from documents),
+ c as (select flag, count(*) n from f group by flag), t as (select count(*) total from documents)
+select flag, n, doc_id as position from f join c using (flag), t where n < total union all select flag, n, null from c, t where n = total""")
 def flag_counts(spark, sf_dir):
-    found = validate.flag_positions(table(spark, sf_dir, "documents"), {n: F.expr(c) for n, c in _FLAGS.items()}, "doc_id")
-    return found.select("flag", "n", F.array_join(F.transform("positions", lambda x: x.cast("string")), ",").alias("positions"))
+    return validate.flag_positions(table(spark, sf_dir, "documents"), {n: F.expr(c) for n, c in _FLAGS.items()}, "doc_id")
 
 
 @query("select unnest(list_filter([case when count(*) filter (n_chars < 0) = 0 then 'negative' end, case when count(*) filter (lang = 'en') = 0 then 'english' end, case when count(*) filter (text is null) = 0 then 'null_text' end], lambda x: x is not null)) as name from documents")
