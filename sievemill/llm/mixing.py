@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import tuck, untuck, word_count
+from sievemill.llm.common import cut, tuck, untuck, word_count
 
 KEY_BUCKETS = 1024
 
@@ -47,18 +47,23 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), cap: in
     return ranked.withColumn("target", F.least(F.col("_cap").cast("double"), F.coalesce(level, F.lit(0.0)) * F.col("_w"))).select("source_key", "source", "source_size", "target")
 
 
-def mix(df: DataFrame, size: str, weight: str, identity: str = "doc_id", source: str = "source", cycle: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 17) -> DataFrame:
+def mix(df: DataFrame, size: str, weight: str, identity: str = "doc_id", source: str = "source", cycle: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 17, totals: DataFrame | None = None) -> DataFrame:
     """df with source_size, target, copies and taken (copies * size), which replace columns of these names; all rows and
-    other columns stay.
+    other columns stay. totals: the same rows' identity, source, size and weight, where they are at hand as a written
+    table; sums then come from it and df is read once.
 
     Nulls: a null source is a source of its own, last in order; a null identity draws the key of null. Rows of size 0
     take 0 words. Equal rows draw equal keys and tie; which of them falls to the boundary is immaterial. An empty table
     gives an empty table.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
-    rows = df.withColumn("_source_key", key).withColumn("_key", exponential_key(F.col(identity), F.col(weight), seed))
-    rows = rows.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * KEY_BUCKETS).cast("int"))
-    buckets = rows.groupBy(F.col("_source_key").alias("source_key"), F.col("_bucket").alias("bucket")).agg(F.first(source).alias("source"), F.sum(size).alias("bucket_size"))
+
+    def keyed(d: DataFrame) -> DataFrame:
+        drawn = d.withColumn("_source_key", key).withColumn("_key", exponential_key(F.col(identity), F.col(weight), seed))
+        return drawn.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * KEY_BUCKETS).cast("int"))
+
+    rows = keyed(df)
+    buckets = keyed(df if totals is None else totals).groupBy(F.col("_source_key").alias("source_key"), F.col("_bucket").alias("bucket")).agg(F.first(source).alias("source"), F.sum(size).alias("bucket_size"))
     targets = source_targets(buckets.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("bucket_size").alias("source_size")), cycle, cap)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     plan = buckets.drop("source").join(targets.drop("source"), "source_key").select(
@@ -85,11 +90,11 @@ def with_size_and_weight(docs: DataFrame) -> DataFrame:
 def repeat_documents(docs: DataFrame) -> DataFrame:
     """Each row of docs (doc_id, source, text and others) as many times as the mix takes it; other columns may have any names."""
     tucked = with_size_and_weight(tuck(docs, "doc_id", "source", "text"))
-    taken = mix(tucked, "size", "weight").where("copies > 0")
+    taken = mix(tucked, "size", "weight", totals=cut(tucked.select("doc_id", "source", "size", "weight"))).where("copies > 0")
     return untuck(taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))), docs.columns, "doc_id", "source", "text")
 
 
 def op1_mixing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    slim = with_size_and_weight(docs).select("doc_id", "source", "size", "weight")
+    slim = cut(with_size_and_weight(docs).select("doc_id", "source", "size", "weight"))
     return mix(slim, "size", "weight").select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
