@@ -472,7 +472,7 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     labels = components(edges)
     at = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     named = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")).where("of_a <> of_b")
-    apart = named.select(F.explode(F.array("of_a", "of_b")).alias("component")).distinct()
+    apart = cut(named.select(F.explode(F.array("of_a", "of_b")).alias("component")).distinct())
     placed = lambda: sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = cut(mixed_signatures(placed().join(apart, "component", "left_semi"), percent))
     total = mixed.agg(F.sum(F.size("signatures"))).first()[0] or 0
@@ -484,8 +484,9 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
             edges = edges.union(found.select("a", "b"))
             labels = components(edges)
     placed = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = placed.join(least, "component").select("node", "component_id")
+    # Written, so that the joins with a large component or a text of many copies have exchanges that can be split.
+    least = cut(placed.groupBy("component").agg(F.min("least").alias("component_id")))
+    named = cut(placed.join(least, "component").select("node", "component_id"))
     full = rows.where(F.col("node").isNotNull()).join(named, "node").select("doc_id", "n_shingles", "component_id")
     return full.union(rows.where(F.col("node").isNull()).select("doc_id", "n_shingles", "doc_id"))
 
