@@ -10,8 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: The standard genetic code, amino acids in the order of codons over TCAG. Fixed value.
-AMINO_ACIDS = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+from sievemill.functions import fixed
+
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -31,7 +31,7 @@ def match_positions(seq: Column, part: Column) -> Column:
 
 
 def codon_table() -> Column:
-    entries = [F.lit(x) for codon, acid in zip(map("".join, itertools.product("TCAG", repeat=3)), AMINO_ACIDS) for x in (codon, acid)]
+    entries = [F.lit(x) for codon, acid in zip(map("".join, itertools.product("TCAG", repeat=3)), fixed.AMINO_ACIDS) for x in (codon, acid)]
     return F.create_map(*entries)
 
 
@@ -143,7 +143,8 @@ def align(a: str, b: str) -> tuple[float, float]:
     if not a or not b:
         return 0.0, 0.0
     unit, base = 1 << 20, 1 << 40
-    gap, match, miss = -2 * base, 2 * base + unit + 1, -base + 1
+    (match, miss, gap), pair = (s * base for s in fixed.ALIGNMENT), 1
+    match, miss = match + unit + pair, miss + pair
     x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b))
     m, n = len(x), len(y)
     two = one = np.zeros(0, np.int64)

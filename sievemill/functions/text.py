@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sievemill.functions import fixed
+
 
 def partition_first(text: Column, delimiter: str) -> Column:
     """struct(head, tail) at the first delimiter; tail is empty where there is none."""
@@ -19,13 +21,13 @@ def squeeze(text: Column) -> Column:
 
 def normalize_paper_id(text: Column) -> Column:
     """Preprint id without its URL, .pdf, closing slash and version."""
-    bare = F.regexp_replace(F.trim(text), r"^https?://arxiv\.org/(?:abs|pdf)/", "")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, r"\.pdf\z", ""), r"/\z", ""), r"v\d+\z", "")
+    bare = F.regexp_replace(F.trim(text), fixed.PAPER_URL, "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, r"\.pdf\z", ""), r"/\z", ""), fixed.PAPER_VERSION, "")
 
 
 def clean_tex(text: Column, limit: int = 12_000) -> Column:
     """Prose of a TeX fragment: comments, citations and footnotes, commands and braces go."""
-    for pattern in (r"(?<!\\)%[^\n]*", r"\\(?:cite|citep|citet|footnote)\s*\{[^}]*\}", r"\\(?:textbf|textit|emph|mathrm|mathbf|operatorname)\s*", r"\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\s*", r"[{}]"):
+    for pattern in fixed.TEX_CLEANING:
         text = F.regexp_replace(text, pattern, "")
     return F.substring(squeeze(text), 1, limit)
 
@@ -95,36 +97,28 @@ def presence_flags(text: Column, patterns: dict[str, str]) -> list[Column]:
     return [F.coalesce(text.rlike("(?i)" + p), F.lit(False)).alias(name) for name, p in patterns.items()]
 
 
-#: Words that look like a gene name before a bracket or after a cue and aren't one. Fixed values.
-NOT_BEFORE_BRACKET = ("DNA", "RNA", "Disease", "Clinical", "Chromosome", "Gene")
-NOT_A_GENE = ("Chromosome", "Gene", "Disease", "Clinical")
-
-
 def variant_context(text: Column) -> Column:
     """struct(chromosome, position, gene) of a question about a variant; null where nothing is found."""
     some = lambda p: F.nullif(F.regexp_extract(text, p, 1), F.lit(""))
     without = lambda names, stop: F.filter(names, lambda g: ~g.isin(*stop))
-    bracketed = without(F.regexp_extract_all(text, F.lit(r"\b([A-Z][A-Za-z0-9.-]*(?:, [A-Z][A-Za-z0-9.-]*)*)\s*\("), 1), NOT_BEFORE_BRACKET)
-    cued = F.regexp_extract_all(text, F.lit(r"\b(?:[Gg]ene|impacting|affecting|within|in)\s+([A-Z][A-Za-z0-9.-]*)\b"), 1)
-    genes = without(F.when(F.size(bracketed) > 0, bracketed).otherwise(cued), NOT_A_GENE)
-    return F.struct(some(r"(?i)chromosome\s+([0-9]+|X|Y)\b").alias("chromosome"), some(r"(?i)(?:position|location)\s+(\d+)").alias("position"), F.try_element_at(genes, F.lit(1)).alias("gene"))
-
-
-FIGURE = r"(?s)\\begin\s*\{figure\*?\}(.*?)\\end\s*\{figure\*?\}"
+    bracketed = without(F.regexp_extract_all(text, F.lit(fixed.GENE_BEFORE_BRACKET), 1), fixed.NOT_BEFORE_BRACKET)
+    cued = F.regexp_extract_all(text, F.lit(fixed.GENE_AFTER_CUE), 1)
+    genes = without(F.when(F.size(bracketed) > 0, bracketed).otherwise(cued), fixed.NOT_A_GENE)
+    return F.struct(some(fixed.CHROMOSOME).alias("chromosome"), some(fixed.POSITION).alias("position"), F.try_element_at(genes, F.lit(1)).alias("gene"))
 
 
 def figure_bodies(tex: Column) -> Column:
     """array<string>: bodies of the figure environments, in order."""
-    return F.regexp_extract_all(tex, F.lit(FIGURE), 1)
+    return F.regexp_extract_all(tex, F.lit(fixed.TEX_FIGURE), 1)
 
 
 def figure_labels(body: Column) -> Column:
-    return F.filter(F.regexp_extract_all(body, F.lit(r"\\label\s*\{([^}]+)\}"), 1), lambda x: F.lower(x).contains("fig"))
+    return F.filter(F.regexp_extract_all(body, F.lit(fixed.TEX_LABEL), 1), lambda x: F.lower(x).contains("fig"))
 
 
 def figure_images(body: Column) -> Column:
     """Distinct image arguments in first order."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(r"\\(?:includegraphics(?:\[[^\]]*\])?|input)\s*\{([^}]+)\}"), 1), lambda x: F.trim(x)))
+    return F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(fixed.TEX_IMAGE), 1), lambda x: F.trim(x)))
 
 
 def canonical_json(value: Column) -> Column:

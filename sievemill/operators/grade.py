@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sievemill.functions import fixed
 from sievemill.functions.literals import disease_keys
 from sievemill.operators.validate import has_exact_keys, strict_bool, strict_int, strict_number, strict_object, strict_string
 
@@ -50,20 +51,17 @@ def label_and_names(submission: Column, label: Column, names: Column) -> Column:
     typed = F.schema_of_variant(F.try_variant_get(whole, "$.diseases", "variant"))
     listed = F.when((typed == "ARRAY<STRING>") | (typed == "ARRAY<VOID>"), F.try_variant_get(whole, "$.diseases", "array<string>"))
     keys = disease_keys(listed)
-    fits = F.coalesce(has_exact_keys(submission, ["pathogenicity", "diseases"]) & said.isin("benign", "pathogenic") & listed.isNotNull() & ~F.array_contains(keys, "") & F.forall(listed, lambda x: x.isNotNull()), F.lit(False))
+    fits = F.coalesce(has_exact_keys(submission, ["pathogenicity", "diseases"]) & said.isin(*fixed.LABELS) & listed.isNotNull() & ~F.array_contains(keys, "") & F.forall(listed, lambda x: x.isNotNull()), F.lit(False))
     same, equal = fits & (said == label), fits & (keys == disease_keys(names))
     return F.struct(_reward(fits).alias("format"), _reward(same).alias("pathogenicity"), _reward(equal).alias("diseases"), _reward(fits & same & equal).alias("reward"))
 
 
-ANSWER_TAG = r"\A\s*<answer>([^<>]+)</answer>\s*\z"
-
-
 def tagged(submission: Column, mode: Column, low: Column, high: Column, text: Column) -> Column:
     """struct(status missing | malformed | graded | unsupported_judge_required, reward): a number within [low, high] or a text, inside one answer tag."""
-    answer = F.trim(F.regexp_extract(submission, ANSWER_TAG, 1))
+    answer = F.trim(F.regexp_extract(submission, fixed.ANSWER_TAG, 1))
     number = F.regexp_replace(answer, "(?<=[0-9])_(?=[0-9])", "").try_cast("decimal(38,18)")
     supported = mode.isin("range_verifier", "str_verifier")
-    status = F.when(submission.isNull(), "missing").when(~submission.rlike(ANSWER_TAG), "malformed").when(~supported, "unsupported_judge_required").otherwise("graded")
+    status = F.when(submission.isNull(), "missing").when(~submission.rlike(fixed.ANSWER_TAG), "malformed").when(~supported, "unsupported_judge_required").otherwise("graded")
     correct = F.when(mode == "range_verifier", number.between(low, high)).otherwise(answer == F.trim(text))
     return F.struct(status.alias("status"), _reward((status == "graded") & correct).alias("reward"))
 

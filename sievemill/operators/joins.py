@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemill.functions import fixed
 from sievemill.operators.validate import close
 
 
@@ -83,9 +84,8 @@ def passages_around(documents: DataFrame, labels: DataFrame, group: str, text: s
     """(group, label, passage): text around each mention \\ref{label} in the documents of the label's group.
 
     Documents give their mentions once, and labels meet them by equality."""
-    mention = r"\\(?:ref|autoref|cref|Cref)\s*\{([^}]+)\}"
-    parts = F.split(F.col(text), mention, -1)
-    names = F.regexp_extract_all(text, F.lit(mention), 1)
+    parts = F.split(F.col(text), fixed.TEX_MENTION, -1)
+    names = F.regexp_extract_all(text, F.lit(fixed.TEX_MENTION), 1)
     # Text before mention i is all parts up to i, with the mentions between them; lengths are enough for its place.
     found = documents.select(group, F.col(text).alias("_t"), F.posexplode(names).alias("_i", label), parts.alias("_p"))
     head = F.array_join(F.slice("_p", 1, F.col("_i") + 1), " ")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Normal quantile of 0.975. Fixed value.
-Z = 1.959963984540054
+from sievemill.functions.fixed import GATE, Z
 
 
 def rate(errors: Column, n: Column) -> Column:
@@ -55,7 +56,8 @@ def balanced_accuracy(rows: DataFrame, gold: str, correct: Column) -> DataFrame:
 def bootstrap_interval(rows: DataFrame, identity: str, value: str, resamples: int = 1000, seed: int = 0) -> DataFrame:
     """One row (low, high): percentile interval of the mean by Poisson resampling. A row's weight in a resample comes
     from a hash of both, so a resample needs no shuffle of rows: every task sums its own, and resamples add up."""
-    weights = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119]
+    shares = [math.exp(-1) / math.factorial(k) for k in range(8)]
+    weights = [sum(shares[: k + 1]) for k in range(7)]
     drawn = rows.select(F.col(identity).alias("_i"), F.col(value).cast("double").alias("_v"), F.explode(F.sequence(F.lit(1), F.lit(resamples))).alias("_r"))
     u = F.pmod(F.xxhash64(F.lit(seed), "_i", "_r"), F.lit(1 << 53)) / float(1 << 53)
     weight = sum((F.when(u >= w, 1).otherwise(0) for w in weights), F.lit(0))
@@ -69,7 +71,7 @@ def near_threshold(x: Column, within: float = 0.001) -> Column:
 
 def gate(interval: Column, fp: Column, fn: Column) -> Column:
     """Whether accuracy may lie strictly within (10 %, 70 %) and both error rates stay under 15 %; null without figures."""
-    return (interval["low"] > 0.10) & (interval["high"] < 0.70) & (fp < 0.15) & (fn < 0.15)
+    return (interval["low"] > GATE[0]) & (interval["high"] < GATE[1]) & (fp < GATE[2]) & (fn < GATE[2])
 
 
 def resolve(first: Column, flagged: Column, second: Column, third: Column) -> Column:

@@ -7,7 +7,7 @@ from functools import lru_cache
 import pytest
 from pyspark.sql import functions as F
 
-from sievemill.functions import literals, sequences, text
+from sievemill.functions import fixed, literals, sequences, text
 
 
 def one(spark, column, **values):
@@ -48,7 +48,7 @@ def test_partition_and_context(spark):
 
 
 def translate_all(s):
-    table = dict(zip((a + b + c for a in "TCAG" for b in "TCAG" for c in "TCAG"), sequences.AMINO_ACIDS))
+    table = dict(zip((a + b + c for a in "TCAG" for b in "TCAG" for c in "TCAG"), fixed.AMINO_ACIDS))
     out = []
     for m in re.finditer("(?=ATG)", s):
         p = "".join(table[s[i : i + 3]] for i in range(m.start(), len(s) - 2, 3))
