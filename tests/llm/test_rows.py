@@ -163,7 +163,7 @@ def test_packing(spark, docs, rows, empty):
     import public_tokenizers
 
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    out = packing.pack_documents(docs, capacity=64).collect()
+    out = packing.pack_documents(docs, capacity=64, cut_at=8).collect()
     ids = {r[0]: [*reference.encode(r[1] or "", add_special_tokens=False).ids, 1] for r in rows}
     crc = lambda x: zlib.crc32(b"".join(i.to_bytes(4, "little") for i in x))
     pieces = collections.defaultdict(list)
@@ -189,10 +189,34 @@ def test_shortest_pack_first():
             back[x] += n
     assert back == histogram
     assert sum(n for _, n in patterns) <= 1.02 * math.ceil(sum(k * v for k, v in histogram.items()) / 100)
-    ranks = collections.defaultdict(list)
-    for length, a, b, *_ in packing.slots(patterns):
-        ranks[length] += range(a, b)
-    assert all(sorted(ranks[k]) == list(range(v)) for k, v in histogram.items())
+
+
+@pytest.mark.parametrize("hot", [0, 900])
+def test_cut_pieces_fill_gaps(hot):
+    """Each token of each piece has one place, no place is taken twice, and little room is left, also with one frequent length."""
+    rng = random.Random(hot)
+    histogram = collections.Counter(rng.randint(1, 512) for _ in range(400)) + collections.Counter({210: hot})
+    table = packing.slots(packing.shortest_pack_first(histogram, 512), 512, 8)
+    parts, used = collections.defaultdict(list), collections.defaultdict(list)
+    for length, a, b, at, n, sequence, offset in table:
+        assert at % 8 == 0 and n > 0
+        for r in range(a, b):
+            parts[length, r].append((at, n))
+            used[sequence + r - a].append((offset, n))
+    assert set(parts) == {(k, r) for k, v in histogram.items() for r in range(v)}
+    for whole, own in ((k[0], v) for k, v in parts.items()):
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(own[-1]) == whole
+    for own in used.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(own[-1]) <= 512
+    assert sum(k * v for k, v in histogram.items()) / (512 * len(used)) > 0.97
+
+
+def test_checksums_of_parts():
+    raw = bytes(random.Random(1).randrange(256) for _ in range(5000))
+    for a, n in ((0, 5000), (128, 256), (4, 4), (1024, 3976)):
+        assert packing.crc_of_end(zlib.crc32(raw[:a]), zlib.crc32(raw[: a + n]), n) == zlib.crc32(raw[a : a + n])
 
 
 def test_scoring(spark, docs, rows, empty):
