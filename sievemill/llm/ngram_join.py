@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, mix, pack, partitions
+from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, mix, pack, partitions, release
 
 #: Up to this many differences, a layout has three cells a partition and its subsets leave one out; beyond, one cell.
 ENUMERATED = 40
@@ -463,8 +463,10 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     rows = cut(members(docs, n))
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     pairs = cut(candidate_pairs(docs, percent, n))
+    release(docs.sparkSession)  # the signatures of all documents
     active = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = cut(sets_of(docs, active.join(nodes, "node").select("node", F.col("least").alias("wanted_id")), n))
+    release(docs.sparkSession)  # the texts
     # The heaviest pair of each node goes first; it mostly links, and few pairs are left between components.
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other"), "weight"), F.struct(F.col("b").alias("node"), F.col("a").alias("other"), "weight"))).alias("x")).select("x.*")
     best = ends.groupBy("node").agg(F.max_by("other", F.struct("weight", "other")).alias("other")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
@@ -475,6 +477,7 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     apart = cut(named.select(F.explode(F.array("of_a", "of_b")).alias("component")).distinct())
     placed = lambda: sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = cut(mixed_signatures(placed().join(apart, "component", "left_semi"), percent))
+    release(docs.sparkSession)
     total = mixed.agg(F.sum(F.size("signatures"))).first()[0] or 0
     wide = min(partitions(docs.sparkSession), 1 + total // SIGNATURES_A_TASK)
     for first, end in ROUNDS:
