@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -52,6 +53,7 @@ def release(spark: SparkSession) -> None:
     garbage, which a driver with little to do puts off while executors' disks fill up."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)  # the files go in the background
 
 
 def partitions(spark: SparkSession) -> int:

@@ -32,6 +32,8 @@ ROUNDS = ((0, 1), (1, 8), (8, 1 << 40))
 #: Signatures that meet in one task of these rounds, on average.
 SIGNATURES_A_TASK = 1 << 17
 FLUSH = 1 << 21
+#: A megabyte.
+MAP_BITS = 1 << 23
 U = np.uint64
 
 
@@ -168,9 +170,9 @@ def _star(signature: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def fingerprint(s: np.ndarray) -> np.ndarray:
-    """A byte for each of as many cells as the set has elements, or up to twice as many: the sum of its elements'
+    """A byte for each of half as many cells as the set has elements, or up to as many: the sum of its elements'
     hashes. Two cells add up to the one cell of half as many."""
-    bits = max(1, int(len(s) - 1).bit_length())
+    bits = max(1, int(len(s) - 1).bit_length() - 1)
     total = np.bincount((s >> U(64 - bits)).astype(np.int64), (mix(s) & U(255)).astype(float), 1 << bits)
     return total.astype(np.int64).astype(np.uint8)
 
@@ -245,6 +247,23 @@ def members(docs: DataFrame, n: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, node long")
 
 
+def likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """docs (doc_id, text) without most rows whose doc_id isn't a wanted_id, by a bitmap of MAP_BITS bits, whatever the
+    number of ids: texts that a join would drop anyway aren't dealt out for it."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
+    bits = wanted.select(place("wanted_id").alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v"))
+    table = np.zeros(MAP_BITS // 64, np.int64)
+    for w, v in bits.collect():  # MAP_BITS / 64 rows at most
+        table[w] = v
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            b = batch.column(2).to_numpy()
+            yield batch.select(["doc_id", "text"]).filter(pa.array((table[b >> 6] >> (b & 63) & 1).astype(bool)))
+
+    return docs.select("doc_id", "text", place("doc_id").alias("b")).mapInArrow(run, "doc_id long, text string")
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(node, size, shingles, print: the fingerprint) of wanted (node, wanted_id)."""
 
@@ -254,7 +273,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             rows = [(w, len(s), s.tobytes(), fingerprint(s).tobytes()) for w, s in zip(batch.column(0).to_pylist(), sets) if len(s) and node_of(s) == w]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["node", "size", "shingles", "print"])
 
-    chosen = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, F.expr("doc_id <=> wanted_id")).select("node", "text")
+    chosen = likely(docs.select(F.col("doc_id").cast("long"), "text"), wanted).join(wanted, F.expr("doc_id <=> wanted_id")).select("node", "text")
     return chosen.mapInArrow(run, "node long, size long, shingles binary, print binary")
 
 
@@ -322,7 +341,6 @@ class Prints:
     @staticmethod
     def packed(print_: bytes) -> bytes:
         p = np.frombuffer(print_, np.uint8)
-        p = p[::2] + p[1::2] if len(p) >= 4 else p
         return ((p[::2] & 15) | (p[1::2] & 15) << 4).tobytes()
 
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -471,6 +489,7 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other"), "weight"), F.struct(F.col("b").alias("node"), F.col("a").alias("other"), "weight"))).alias("x")).select("x.*")
     best = ends.groupBy("node").agg(F.max_by("other", F.struct("weight", "other")).alias("other")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     edges = cut(linked(near(best, sets, percent).where("near").select("a", "b"), sets, percent).where("linked")).select("a", "b")
+    release(docs.sparkSession)
     labels = components(edges)
     at = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     named = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")).where("of_a <> of_b")
@@ -483,6 +502,7 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     for first, end in ROUNDS:
         more = unresolved_pairs(placed().join(mixed, "node"), percent, first, end, wide)
         found = cut(linked(more, sets, percent).where("linked"))
+        release(docs.sparkSession)
         if found.limit(1).count():
             edges = edges.union(found.select("a", "b"))
             labels = components(edges)
