@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
 
@@ -48,14 +46,6 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of plans that nothing refers to any more. It does so when the driver's JVM collects
-    garbage, which a driver with little to do puts off while executors' disks fill up."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.5)  # the files go in the background
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
