@@ -2,8 +2,12 @@
 
 Each table applies a fast pseudo-rotation (sign flips and a Hadamard transform, three times) to the unit vectors and
 assigns each to the nearest signed axis. A query probes the axes nearest to it in every table; all vectors found there
-are reranked by the exact measure. For the largest inner product, vectors of unequal norms get one more coordinate,
-sqrt(M^2 - |x|^2) with M the largest norm, which makes the order of inner products that of angles.
+are reranked by the exact measure. For the largest inner product, vectors are grouped by their norms' powers of two, and
+each query looks in all groups. Where a group's norms differ, its vectors get one more coordinate, sqrt(M^2 - |x|^2) with
+M the group's largest norm, and queries a zero there, which makes the order of inner products that of angles.
+
+A group that fits a bucket is one. For a larger one, the neighbours of a sample of queries, found among all vectors, show
+which share of them the tables find; where that is under LEAST_RECALL, the group is searched whole.
 
 Equal vectors are one class, searched once and expanded at the end by their smallest ids, so copies never meet in a
 bucket. A bucket of more than SPLIT classes is split; its queries go to each part. No bucket has a cap.
@@ -13,19 +17,25 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import cut, partitions
+from sievemill.llm.common import cut, mix, partitions
 
 #: Up to this many classes a table uses one axis as its bucket; beyond it, two, with more tables.
 ONE_AXIS = 1_000_000
-#: axes per bucket: (tables, axes probed per rotation). Recall is measured in the tests.
+#: axes per bucket: (tables, axes probed per rotation, of each 128 signed ones). To search all vectors costs no more than
+#: wider plans would.
 PLANS = {1: (32, 4), 2: (64, 12)}
 SPLIT = 1024
+#: Queries of each vector length whose neighbours are sought among all vectors, and the share of these that tables must find.
+SAMPLE, LEAST_RECALL = 64, 0.95
+#: Powers of two of norms, below the largest, that are groups of their own; all smaller norms join the last.
+BANDS = 8
 SEED = 20
 
 
@@ -77,10 +87,59 @@ def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1).astype(np.float64)
 
 
-def _unit(x: np.ndarray, most: float, even: bool) -> np.ndarray:
-    if not even:
-        x = np.hstack([x, np.sqrt(np.maximum(0, most * most - (x * x).sum(1)))[:, None]])
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+class Group(NamedTuple):
+    """Vectors of one length and power of two of the norm; all of them lie in one bucket where tables is 0."""
+
+    number: int
+    size: int
+    band: float
+    n: int
+    most: float
+    even: bool
+    per_bucket: int = 1
+    tables: int = 0
+    probes: int = 0
+
+    def vectors(self, x: np.ndarray) -> np.ndarray:
+        if self.even:
+            return x / np.linalg.norm(x, axis=1, keepdims=True)
+        return np.hstack([x, np.sqrt(np.maximum(0, self.most**2 - (x * x).sum(1)))[:, None]]) / self.most
+
+    def queries(self, x: np.ndarray) -> np.ndarray:
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        return x if self.even else np.hstack([x, np.zeros((len(x), 1))])
+
+    def buckets(self, unit: np.ndarray, probes: int) -> np.ndarray:
+        """(rows, buckets) of vectors (with one probe) or queries; a bucket's number holds its group."""
+        own = buckets(unit, self.per_bucket, self.tables, probes).reshape(len(unit), -1) if self.tables else np.zeros((len(unit), 1), np.int64)
+        return own + (self.number << 40)
+
+    def planned(self, per_bucket: int | None, tables: int | None = None, probes: int | None = None) -> Group:
+        per_bucket = per_bucket or (1 if self.n <= ONE_AXIS else 2)
+        signed = 2 << max(0, self.size - self.even).bit_length()
+        return self._replace(per_bucket=per_bucket, tables=tables or PLANS[per_bucket][0], probes=min(signed, probes or max(PLANS[per_bucket][1], PLANS[per_bucket][1] * signed // 128)))
+
+    def recall(self, queries: np.ndarray, near: np.ndarray) -> float:
+        """Share of near, row by row a query's neighbours in this group, that its buckets hold."""
+        if not len(near):
+            return 1.0
+        q, x, found = self.queries(queries), self.vectors(near), np.zeros(len(near), bool)
+        for t in range(self.tables):
+            hit = np.ones(len(near), bool)
+            for k in range(self.per_bucket):
+                number = t * self.per_bucket + k
+                hit &= (axes(rotations(q, number), self.probes) == axes(rotations(x, number), 1)).any(axis=1)
+            found |= hit
+        return float(found.mean())
+
+
+def _band(x: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(np.linalg.norm(x, axis=1)) + 0.5)
+
+
+def _group_of(x: np.ndarray, groups: list[Group]) -> np.ndarray:
+    """Index in groups (of one length, by band) of each row."""
+    return np.maximum(0, np.searchsorted([g.band for g in groups], _band(x), "right") - 1)
 
 
 def _by_length(batch: pa.RecordBatch, kind: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -123,6 +182,78 @@ def classes(vectors: DataFrame, k: int, every: int) -> tuple[DataFrame, str]:
     return merged.withColumn("class_id", F.col("ids")[0]), kind
 
 
+def _groups(bands: list[tuple[int, float, int, float, float]]) -> dict[int, list[Group]]:
+    """Groups of each vector length, by norm, from (size, band, n, least, most)."""
+    out: dict[int, list[Group]] = {}
+    number = 0
+    for size in sorted({b[0] for b in bands}):
+        own = sorted(tuple(b) for b in bands if b[0] == size)
+        low = [b for b in own if b[1] <= own[-1][1] - BANDS]
+        merged = [(size, low[-1][1], sum(b[2] for b in low), low[0][3], low[-1][4])] if low else []
+        out[size] = []
+        for _, band, n, least, most in merged + own[len(low) :]:
+            out[size].append(Group(number, size, band, n, most, most - least < 1e-6 * most))
+            number += 1
+    return out
+
+
+def _measured(found: DataFrame, kind: str, k: int, groups: dict[int, list[Group]]) -> dict[int, list[Group]]:
+    """groups, those without tables whose tables find less than LEAST_RECALL of the sampled queries' neighbours there."""
+    hashed = {size for size, own in groups.items() if any(g.tables for g in own)}
+    if not hashed:
+        return groups
+    schema = "size long, query long, class_id long, score double, vec binary"
+
+    def sample(batches):
+        """Of each length, the queries of this task that come first by a hash."""
+        kept: dict[int, list[tuple[int, int, bytes]]] = defaultdict(list)
+        for batch in batches:
+            for part, x in _by_length(batch, kind):
+                if x.shape[1] in hashed:
+                    ids = part.column("class_id").to_numpy()
+                    hashes = mix(ids.astype(np.uint64))
+                    own, vec = kept[x.shape[1]], part.column("vec")
+                    own += [(int(hashes[i]), int(ids[i]), vec[int(i)].as_py()) for i in np.argsort(hashes)[:SAMPLE]]
+                    own[:] = sorted(own)[:SAMPLE]
+        rows = [(size, i, i, float(h), v) for size, own in kept.items() for h, i, v in own]
+        yield from [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["size", "query", "class_id", "score", "vec"])] if rows else []
+
+    asked: dict[int, list] = defaultdict(list)
+    for r in found.where("queried").select("class_id", "vec").mapInArrow(sample, schema).collect():  # SAMPLE a task and length
+        asked[r["size"]].append((r["score"], r["query"], bytes(r["vec"])))
+    asked = {size: sorted(own)[:SAMPLE] for size, own in asked.items()}
+    vectors = {size: np.frombuffer(b"".join(r[2] for r in own), kind).reshape(len(own), -1).astype(np.float64) for size, own in asked.items()}
+
+    def nearest(batches):
+        """The k best classes of this task for each sampled query."""
+        best: dict[tuple[int, int], list[tuple[float, int, bytes]]] = defaultdict(list)
+        for batch in batches:
+            for part, x in _by_length(batch, kind):
+                if x.shape[1] in vectors:
+                    ids, vec, top = part.column("class_id").to_numpy(), part.column("vec"), min(k + 1, len(x))
+                    scores = vectors[x.shape[1]] @ x.T
+                    for (_, q, _), s, near in zip(asked[x.shape[1]], scores, np.argpartition(-scores, top - 1, axis=1)[:, :top]):
+                        own = best[x.shape[1], q]
+                        own += [(-float(s[i]), int(ids[i]), vec[int(i)].as_py()) for i in near if ids[i] != q]
+                        own[:] = sorted(own)[:k]
+        rows = [(size, q, i, -s, v) for (size, q), own in best.items() for s, i, v in own]
+        yield from [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["size", "query", "class_id", "score", "vec"])] if rows else []
+
+    ranked = found.select("class_id", "vec").mapInArrow(nearest, schema).withColumn("_n", F.row_number().over(Window.partitionBy("size", "query").orderBy(F.desc("score"), "class_id")))
+    pairs: dict[int, list[tuple[int, bytes]]] = defaultdict(list)
+    for r in ranked.where(F.col("_n") <= k).collect():  # SAMPLE * k a length
+        pairs[r["size"]].append((r["query"], bytes(r["vec"])))
+    out = dict(groups)
+    for size in hashed:
+        # Where no query of this length was sampled, there is none.
+        near = np.frombuffer(b"".join(v for _, v in pairs[size]), kind).reshape(-1, size).astype(np.float64)
+        place = {r[1]: i for i, r in enumerate(asked.get(size, []))}
+        of = np.array([place[q] for q, _ in pairs[size]], int)
+        at = _group_of(near, groups[size])
+        out[size] = [g._replace(tables=0, probes=0) if g.tables and g.recall(vectors[size][of[at == i]] if len(of) else near, near[at == i]) < LEAST_RECALL else g for i, g in enumerate(groups[size])]
+    return out
+
+
 def search(vectors: DataFrame, k: int = 20, every: int = 20, per_bucket: int | None = None, tables: int | None = None, probes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row whose vec_id is divisible by every, by the
     largest inner product in double precision; ties go to the smaller vec_id. Repeated rows with one id count once
@@ -133,21 +264,26 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, per_bucket: int | N
 
     def norms(batches):
         for batch in batches:
-            for part, x in _by_length(batch, kind):
-                n = np.linalg.norm(x, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([len(part)], pa.int64()), pa.array([n.min()]), pa.array([n.max()])], ["n", "least", "most"])
+            for _, x in _by_length(batch, kind):
+                n, band = np.linalg.norm(x, axis=1), _band(x)
+                rows = [(x.shape[1], b, int((band == b).sum()), n[band == b].min(), n[band == b].max()) for b in np.unique(band)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["size", "band", "n", "least", "most"])
 
-    total = found.select("vec").mapInArrow(norms, "n long, least double, most double").agg(F.sum("n"), F.min("least"), F.max("most")).first()
-    n, least, most = total[0] or 0, total[1] or 1.0, total[2] or 1.0
-    even = most - least < 1e-6 * most
-    per_bucket = per_bucket or (1 if n <= ONE_AXIS else 2)
-    tables, probes = tables or PLANS[per_bucket][0], probes or PLANS[per_bucket][1]
+    bands = found.select("vec").mapInArrow(norms, "size long, band double, n long, least double, most double").groupBy("size", "band").agg(F.sum("n"), F.min("least"), F.max("most"))
+    groups = _groups(bands.collect())  # a row a length and power of two
+    if tables or probes:
+        groups = {size: [g.planned(per_bucket, tables, probes) for g in own] for size, own in groups.items()}
+    else:
+        groups = _measured(found, kind, k, {size: [g.planned(per_bucket) if g.n > SPLIT else g for g in own] for size, own in groups.items()})
 
     def counted(batches):
         for batch in batches:
             for _, x in _by_length(batch, kind):
-                b, c = np.unique(buckets(_unit(x, most, even), per_bucket, tables, 1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(c)], ["bucket", "n"])
+                own = groups[x.shape[1]]
+                at = _group_of(x, own)
+                for i in np.unique(at):
+                    b, c = np.unique(own[i].buckets(own[i].vectors(x[at == i]), 1), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(c)], ["bucket", "n"])
 
     # One entry for each bucket that is split: at most tables * n / SPLIT.
     split = {r[0]: -(-r[1] // SPLIT) for r in found.select("vec").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > SPLIT).collect()}
@@ -156,13 +292,14 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, per_bucket: int | N
         """Each class to its bucket in every table, each queried class to all buckets that it probes."""
         for batch in batches:
             for part, x in _by_length(batch, kind):
-                unit = _unit(x, most, even)
-                ids, vec = part.column("class_id").to_numpy(), part.column("vec")
+                ids, vec, own = part.column("class_id").to_numpy(), part.column("vec"), groups[x.shape[1]]
                 queried = np.flatnonzero(part.column("queried").to_numpy(zero_copy_only=False))
-                for query, rows, b in ((False, np.arange(len(x)), buckets(unit, per_bucket, tables, 1)), (True, queried, buckets(unit[queried], per_bucket, tables, probes) if len(queried) else None)):
-                    if b is None:
+                at = _group_of(x, own)
+                dealt = [(False, np.flatnonzero(at == i), g) for i, g in enumerate(own)] + [(True, queried, g) for g in own]
+                for query, rows, g in dealt:
+                    if not len(rows):
                         continue
-                    b = b.reshape(len(rows), -1)
+                    b = g.buckets(g.queries(x[rows]), g.probes) if query else g.buckets(g.vectors(x[rows]), 1)
                     row, bucket = np.repeat(rows, b.shape[1]), b.ravel()
                     parts = np.array([split.get(v, 1) for v in bucket.tolist()])
                     if query:
@@ -209,7 +346,14 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, per_bucket: int | N
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64()))], ["query_class", "class_id", "score"])
 
     dealt = found.select("vec", "class_id", "queried").mapInArrow(deal, "bucket long, salt long, query boolean, class_id long, vec binary").repartition(partitions(spark), "bucket", "salt")
-    scored = dealt.mapInArrow(rerank, "query_class long, class_id long, score double").groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
+    # A query's own class, whose copies are its neighbours, may lie in none of the buckets that it probes.
+    def itself(batches):
+        for batch in batches:
+            for part, x in _by_length(batch, kind):
+                yield pa.RecordBatch.from_arrays([part.column("class_id"), part.column("class_id"), pa.array((x * x).sum(axis=1))], ["query_class", "class_id", "score"])
+
+    own = found.where("queried").select("class_id", "vec").mapInArrow(itself, "query_class long, class_id long, score double")
+    scored = dealt.mapInArrow(rerank, "query_class long, class_id long, score double").union(own).groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
     top = scored.withColumn("_n", F.row_number().over(Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id"))).where(F.col("_n") <= k + 1)
     members = top.join(found.select("class_id", "ids"), "class_id").select("query_class", "score", F.explode("ids").alias("vec_id"))
     near = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "vec_id")))

@@ -40,6 +40,34 @@ def test_nearest(spark):
     assert [r["rank"] for r in sorted(few, key=lambda r: r["rank"])] == [1, 2]
 
 
+def unit_rows(rng, n, width):
+    x = rng.normal(size=(n, width))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def nearest_recall(spark, x, **plan):
+    """(share of the 20 nearest found, fewest found for a query) over all queries."""
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    found = collections.defaultdict(set)
+    for r in nearest.search(df, **plan).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    exact, hits, asked = x.astype(float), 0, range(0, len(x), 20)
+    for q in asked:
+        scores = exact @ exact[q]
+        scores[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-scores)[: min(20, len(x) - 1)].tolist()))
+    return hits / (len(asked) * min(20, len(x) - 1)), min(len(found[q]) for q in asked)
+
+
+@pytest.mark.parametrize("width, larger, factor", [(64, 120, 10), (64, 1500, 3), (64, 1200, 1.3), (128, 0, 1), (256, 0, 1)])
+def test_nearest_of_skewed_norms_and_wide_vectors(spark, width, larger, factor):
+    """Some vectors longer than the others by a factor, and equal norms at other widths, with the query's own plan."""
+    x = unit_rows(np.random.default_rng(width + larger), 3000, width)
+    x[1:][:larger] *= factor
+    assert nearest_recall(spark, x)[0] >= 0.93
+
+
 def test_rotations_keep_lengths():
     x = np.random.default_rng(1).normal(size=(5, 33))
     assert np.linalg.norm(nearest.rotations(x, 3), axis=1) == pytest.approx(np.linalg.norm(x, axis=1))
