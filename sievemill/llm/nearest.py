@@ -254,27 +254,8 @@ def _measured(found: DataFrame, kind: str, k: int, groups: dict[int, list[Group]
     return out
 
 
-def search(vectors: DataFrame, k: int = 20, every: int = 20, per_bucket: int | None = None, tables: int | None = None, probes: int | None = None) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each row whose vec_id is divisible by every, by the
-    largest inner product in double precision; ties go to the smaller vec_id. Repeated rows with one id count once
-    where their vectors are equal. An empty table gives an empty table. Only vectors of equal length are compared."""
-    spark = vectors.sparkSession
-    found, kind = classes(vectors, k, every)
-    found = cut(found)
-
-    def norms(batches):
-        for batch in batches:
-            for _, x in _by_length(batch, kind):
-                n, band = np.linalg.norm(x, axis=1), _band(x)
-                rows = [(x.shape[1], b, int((band == b).sum()), n[band == b].min(), n[band == b].max()) for b in np.unique(band)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["size", "band", "n", "least", "most"])
-
-    bands = found.select("vec").mapInArrow(norms, "size long, band double, n long, least double, most double").groupBy("size", "band").agg(F.sum("n"), F.min("least"), F.max("most"))
-    groups = _groups(bands.collect())  # a row a length and power of two
-    if tables or probes:
-        groups = {size: [g.planned(per_bucket, tables, probes) for g in own] for size, own in groups.items()}
-    else:
-        groups = _measured(found, kind, k, {size: [g.planned(per_bucket) if g.n > SPLIT else g for g in own] for size, own in groups.items()})
+def _look(found: DataFrame, kind: str, k: int, groups: dict[int, list[Group]]) -> DataFrame:
+    """(query_class, class_id, score) of each queried class' best classes, k + 1 a task, in the buckets of groups."""
 
     def counted(batches):
         for batch in batches:
@@ -345,7 +326,32 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, per_bucket: int | N
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64()))], ["query_class", "class_id", "score"])
 
-    dealt = found.select("vec", "class_id", "queried").mapInArrow(deal, "bucket long, salt long, query boolean, class_id long, vec binary").repartition(partitions(spark), "bucket", "salt")
+    dealt = found.select("vec", "class_id", "queried").mapInArrow(deal, "bucket long, salt long, query boolean, class_id long, vec binary").repartition(partitions(found.sparkSession), "bucket", "salt")
+    return dealt.mapInArrow(rerank, "query_class long, class_id long, score double")
+
+
+def search(vectors: DataFrame, k: int = 20, every: int = 20, per_bucket: int | None = None, tables: int | None = None, probes: int | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of each row whose vec_id is divisible by every, by the
+    largest inner product in double precision; ties go to the smaller vec_id. Repeated rows with one id count once
+    where their vectors are equal. An empty table gives an empty table. Only vectors of equal length are compared."""
+    spark = vectors.sparkSession
+    found, kind = classes(vectors, k, every)
+    found = cut(found)
+
+    def norms(batches):
+        for batch in batches:
+            for _, x in _by_length(batch, kind):
+                n, band = np.linalg.norm(x, axis=1), _band(x)
+                rows = [(x.shape[1], b, int((band == b).sum()), n[band == b].min(), n[band == b].max()) for b in np.unique(band)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["size", "band", "n", "least", "most"])
+
+    bands = found.select("vec").mapInArrow(norms, "size long, band double, n long, least double, most double").groupBy("size", "band").agg(F.sum("n"), F.min("least"), F.max("most"))
+    groups = _groups(bands.collect())  # a row a length and power of two
+    if tables or probes:
+        groups = {size: [g.planned(per_bucket, tables, probes) for g in own] for size, own in groups.items()}
+    else:
+        groups = _measured(found, kind, k, {size: [g.planned(per_bucket) if g.n > SPLIT else g for g in own] for size, own in groups.items()})
+
     # A query's own class, whose copies are its neighbours, may lie in none of the buckets that it probes.
     def itself(batches):
         for batch in batches:
@@ -353,8 +359,23 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, per_bucket: int | N
                 yield pa.RecordBatch.from_arrays([part.column("class_id"), part.column("class_id"), pa.array((x * x).sum(axis=1))], ["query_class", "class_id", "score"])
 
     own = found.where("queried").select("class_id", "vec").mapInArrow(itself, "query_class long, class_id long, score double")
-    scored = dealt.mapInArrow(rerank, "query_class long, class_id long, score double").union(own).groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
-    top = scored.withColumn("_n", F.row_number().over(Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id"))).where(F.col("_n") <= k + 1)
+
+    def best(scored):
+        scored = scored.groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
+        return scored.withColumn("_n", F.row_number().over(Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id"))).where(F.col("_n") <= k + 1).drop("_n")
+
+    top = best(_look(found, kind, k, groups).union(own))
+    if any(g.tables for of in groups.values() for g in of):
+        # Queries whose buckets hold fewer vectors than are asked for, or than there are, look at all vectors of their length.
+        top = cut(top)
+        room = {r[0]: r[1] for r in found.groupBy(F.length("vec")).agg(F.sum(F.size("ids"))).where(F.col("sum(size(ids))") <= k).collect()}
+        enough = F.coalesce(*[F.when(F.length("vec") == size, F.lit(n)) for size, n in room.items()], F.lit(k + 1))
+        held = top.join(found.select("class_id", F.size("ids").alias("n")), "class_id").groupBy(F.col("query_class").alias("class_id")).agg(F.sum("n").alias("n"))
+        short = cut(found.where("queried").select("class_id", enough.alias("enough")).join(held, "class_id").where("n < enough").select("class_id", F.lit(True).alias("short")))
+        if not short.isEmpty():
+            asking = found.drop("queried").join(short, "class_id", "left").select("vec", "ids", F.coalesce("short", F.lit(False)).alias("queried"), "class_id")
+            whole = {size: [g._replace(tables=0, probes=0) for g in of] for size, of in groups.items()}
+            top = best(top.union(_look(asking, kind, k, whole)))
     members = top.join(found.select("class_id", "ids"), "class_id").select("query_class", "score", F.explode("ids").alias("vec_id"))
     near = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "vec_id")))
     lists = members.withColumn("_n", F.row_number().over(Window.partitionBy("query_class").orderBy(F.desc("score"), "vec_id"))).where(F.col("_n") <= k + 1).groupBy("query_class").agg(near.alias("near"))

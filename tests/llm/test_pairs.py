@@ -68,6 +68,16 @@ def test_nearest_of_skewed_norms_and_wide_vectors(spark, width, larger, factor):
     assert nearest_recall(spark, x)[0] >= 0.93
 
 
+@pytest.mark.parametrize("plan", [{}, {"per_bucket": 1, "tables": 32, "probes": 4}])
+def test_nearest_of_few_candidates(spark, plan):
+    """The query's own plan, and its tables where they find too few: small tables, and opposite vectors of two lengths."""
+    for n in (5, 20):
+        assert nearest_recall(spark, unit_rows(np.random.default_rng(n), n, 64), **plan)[1] == n - 1
+    x = unit_rows(np.random.default_rng(3), 60, 64) * 0.01 + np.eye(64)[0]
+    x[0] = -x[0]
+    assert nearest_recall(spark, x, **plan)[1] == 20
+
+
 def test_rotations_keep_lengths():
     x = np.random.default_rng(1).normal(size=(5, 33))
     assert np.linalg.norm(nearest.rotations(x, 3), axis=1) == pytest.approx(np.linalg.norm(x, axis=1))
