@@ -260,3 +260,26 @@ def test_probabilities_sum_to_one():
 
 def test_digest_of_no_spans():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_sampler_gets_the_totals_of_all_tasks(spark, docs, monkeypatch):
+    """Each sweep's totals are the sums over the tasks, which words dealt unevenly aren't in proportion to."""
+    import numpy as np
+
+    module, seen = language_model, []
+    after = module.Totals.after.__func__
+    monkeypatch.setattr(module.Totals, "after", classmethod(lambda cls, totals: (seen.append(list(totals)), after(cls, totals))[1]))
+    module.score(docs).count()
+    texts = [r["text"] or "" for r in module._blocks(docs, 4).where("not held_out").collect()]
+    keys, count = np.unique(module.token_keys([t.encode() for t in texts])[0], return_counts=True)
+    context, bucket = (keys & module._CONTEXT_BITS).astype(np.int64), module.bucket_of(keys, 4)
+    samplers = []
+    for k in range(4):
+        words, word = np.unique(keys[bucket == k] >> np.uint64(7), return_inverse=True)
+        samplers.append(module.Sampler(count[bucket == k], context[bucket == k], word, len(words), k))
+    want = sum(s.totals() for s in samplers)
+    assert np.array_equal(seen[0][0], want) and len(seen[0]) == module.BURN_IN + module.SAMPLES + 1
+    assert want[0] == count.sum() and want[1] == len(np.unique(keys >> np.uint64(7)))
+    assert np.array_equal(want[3 + module.CONTEXTS :], np.bincount(context, minlength=module.CONTEXTS))
+    assert max(abs(4 * s.totals()[0] - want[0]) for s in samplers) > 0.1 * want[0]
+    assert [t[0] for t in seen[0]] == [want[0]] * len(seen[0])
