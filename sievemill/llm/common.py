@@ -28,11 +28,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the session names none (tests), a temporary one is set."""
+    """The folder that driver and executors share. Where a local session names none (tests), a temporary one is set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isEmpty():
+            if not jsc.isLocal():
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sievemill-"))
         found = jsc.getCheckpointDir().get()
     return found.rstrip("/")
@@ -43,7 +45,18 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sievemill-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that cut wrote and that nothing reads any more; other tables are left alone."""
+    for df in tables:
+        if path := getattr(df, "_written", None):
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def partitions(spark: SparkSession) -> int:
