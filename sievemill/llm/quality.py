@@ -21,8 +21,8 @@ from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, tuck
 ACCURACY = 0.01
 #: metric: (smallest spread that counts, spreads above the median at which a document is rejected, and below it or None).
 FENCES = {"symbols_per_word": (0.02, 5.0, None), "dup_line_share": (0.06, 10.0, None), "word_length": (0.25, 10.0, 10.0)}
-#: Groups with fewer documents use the sketch of their language, and then of the corpus.
-LEAST_DOCS = 100
+#: A group's fences count for its documents and those of its language, and of these the corpus', for so many more.
+BORROWED = 100
 SALTS = 16
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -114,15 +114,18 @@ def thresholds(rows: DataFrame) -> DataFrame:
     wide = F.greatest(F.col("q50") - F.col("q25"), spread)
     fence = fence.withColumn("high", F.col("q50") + above * wide).withColumn("low", F.col("q50") - below * wide)
     one = lambda c, m: F.max(F.when(F.col("metric") == m, F.col(c)))
-    flat = fence.groupBy("lang_key", "source_key").agg(F.max("n").alias("n"), *[one(c, m).alias(f"{c}_{m}") for m in FENCES for c in ("low", "high")])
     names = [f"{c}_{m}" for m in FENCES for c in ("low", "high")]
+    flat = fence.groupBy("lang_key", "source_key").agg(F.max("n").alias("n"), *[one(c, m).alias(f"{c}_{m}") for m in FENCES for c in ("low", "high")])
+    level = lambda i: [F.col("n").alias(f"n{i}"), *[F.col(x).alias(f"{x}{i}") for x in names]]
     groups = rows.select(_key("lang").alias("lang_key"), _key("source").alias("source_key")).distinct()
-    own, lang, everything = (flat.select(*keys, F.col("n").alias(f"n{i}"), *[F.col(x).alias(f"{x}{i}") for x in names]) for i, keys in enumerate((["lang_key", "source_key"], ["lang_key", "source_key"], ["lang_key", "source_key"])))
-    lang, everything = lang.where("source_key = '*'").drop("source_key"), everything.where("lang_key = '*'").drop("lang_key", "source_key")
-    own = own.where("source_key <> '*'")
+    own = flat.where("source_key <> '*'").select("lang_key", "source_key", *level(0))
+    lang = flat.where("source_key = '*' and lang_key <> '*'").select("lang_key", *level(1))
+    everything = flat.where("lang_key = '*'").select(*level(2))
     joined = groups.join(own, ["lang_key", "source_key"], "left").join(lang, "lang_key", "left").join(everything, F.lit(True), "left")
-    pick = lambda x: F.when(F.col("n0") >= LEAST_DOCS, F.col(f"{x}0")).when(F.col("n1") >= LEAST_DOCS, F.col(f"{x}1")).otherwise(F.col(f"{x}2"))
-    return joined.select("lang_key", "source_key", *[pick(x).alias(x) for x in names])
+    # However small a group is, its own documents count; the more it has, the less it borrows.
+    of_lang = lambda x: F.coalesce((F.col("n1") * F.col(f"{x}1") + BORROWED * F.col(f"{x}2")) / (F.col("n1") + BORROWED), F.col(f"{x}2"))
+    of_group = lambda x: F.coalesce((F.col("n0") * F.col(f"{x}0") + BORROWED * of_lang(x)) / (F.col("n0") + BORROWED), of_lang(x))
+    return joined.select("lang_key", "source_key", *[of_group(x).alias(x) for x in names])
 
 
 def _key(name: str) -> Column:
@@ -159,3 +162,46 @@ def op7_quality(spark, sf_dir):
     rows = cut(features(docs).drop("text"))
     judged = judge(rows, cut(thresholds(rows)))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang", "source")
+
+
+def _sql() -> str:
+    value = {"symbols_per_word": "n_symbols / greatest(n_words, 1)", "dup_line_share": "n_dup_lines / greatest(n_lines, 1)", "word_length": "word_chars / greatest(n_words, 1)"}
+    number = lambda x: "'infinity'::double" if x is None else f"{x!r}::double"
+    bucket_of = lambda v: f"case when {v} <= 0 then 0 else cast(ceil(ln({v}) / {math.log(_GAMMA)!r}::double) as integer) + 100000 end"
+    quantile = lambda q: f"min(bucket) filter (up_to >= {q} * total)"
+    at = lambda b: f"case when {b} = 0 then 0.0::double else 2 * pow({_GAMMA!r}::double, {b} - 100000) / {_GAMMA + 1!r}::double end"
+    names = [f"{c}_{m}" for m in FENCES for c in ("low", "high")]
+    fences = [f"max({end}) filter (metric = '{m}') {end}_{m}" for m in FENCES for end in ("low", "high")]
+    of_lang = lambda x: f"coalesce((l.n * l.{x} + {BORROWED} * e.{x}) / (l.n + {BORROWED}), e.{x})"
+    of_group = [f"coalesce((o.n * o.{x} + {BORROWED} * {of_lang(x)}) / (o.n + {BORROWED}), {of_lang(x)}) {x}" for x in names]
+    outside = []
+    for m in FENCES:
+        slack = f"(high_{m} - low_{m}) / 2 * 40 / greatest(n_words, 1)" if FENCES[m][2] else "0.0"
+        outside += [f"coalesce({value[m]} > high_{m} * {1 + ACCURACY!r}::double + {slack}, false)", f"coalesce({value[m]} < low_{m} * {1 - ACCURACY!r}::double - {slack}, false)"]
+    metric = lambda i: "case metric " + " ".join(f"when '{m}' then {number(f[i])}" for m, f in FENCES.items()) + " end"
+    return f"""
+with d as (select doc_id, lang, source, coalesce('=' || lang, '') lang_key, coalesce('=' || source, '') source_key, coalesce(text, '') text,
+  list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') tk, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) ls from documents),
+g as (select doc_id, i, array_to_string(tk[i : i + 4], ' ') gram from (select doc_id, tk, unnest(range(1, len(tk) - 3)) i from d)),
+r as (select doc_id, gram from g group by doc_id, gram having count(*) > 1),
+q as (select doc_id, count(distinct i + k) n from (select doc_id, i, unnest(range(5)) k from g join r using (doc_id, gram)) group by doc_id),
+f as (select d.doc_id, lang, source, lang_key, source_key, len(tk)::bigint n_words, coalesce(list_sum(list_transform(tk, lambda x: length(x))), 0)::bigint word_chars,
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols, len(ls)::bigint n_lines, (len(ls) - len(list_distinct(ls)))::bigint n_dup_lines, coalesce(q.n, 0)::bigint n_repeat_words
+  from d left join q using (doc_id)),
+j as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words base_failed from f),
+a as (select * from j where not base_failed),
+b as ({" union all ".join(f"select lang_key, source_key, '{m}' metric, {bucket_of(v)} bucket from a" for m, v in value.items())}),
+h as (select lang_key, source_key, metric, bucket, count(*) n from b group by all union all select lang_key, '*', metric, bucket, count(*) from b group by all union all select '*', '*', metric, bucket, count(*) from b group by all),
+c as (select *, sum(n) over (partition by lang_key, source_key, metric order by bucket) up_to, sum(n) over (partition by lang_key, source_key, metric) total from h),
+u as (select lang_key, source_key, metric, max(total) n, {quantile(0.25)} b25, {quantile(0.5)} b50 from c group by lang_key, source_key, metric),
+v as (select *, {at("b25")} q25, {at("b50")} q50 from u),
+w as (select *, q50 + {metric(1)} * greatest(q50 - q25, {metric(0)}) high, q50 - {metric(2)} * greatest(q50 - q25, {metric(0)}) low from v),
+z as (select lang_key, source_key, max(n)::bigint n, {", ".join(fences)} from w group by lang_key, source_key),
+k as (select x.lang_key, x.source_key, {", ".join(of_group)} from (select distinct lang_key, source_key from j) x
+  left join (select * from z where source_key <> '*') o using (lang_key, source_key)
+  left join (select * from z where source_key = '*' and lang_key <> '*') l on x.lang_key = l.lang_key left join (select * from z where lang_key = '*') e on true)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not ({" or ".join(outside)}) kept, lang, source from j join k using (lang_key, source_key)"""
+
+
+#: The same over plain lists, with one count for each value's bucket; doc_id is unique in the tables.
+OP7_SQL = _sql()
