@@ -188,3 +188,34 @@ def op8_secrets(spark, sf_dir):
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long) as n_{k}") for k in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(F.filter("spans", is_base)), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def _sql() -> str:
+    """Matches are placed by the lengths of the pieces between them."""
+    either = lambda w: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+    keyword = "|".join(either(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    pattern = {r.kind: r.pattern for r in RULES} | {
+        "assign": RULES[0].pattern.replace("(?i:(password|passwd|secret|token|api_?key))", f"({keyword})"),
+        # A run's longest match is its first, so the least length may stand in the pattern.
+        "access": "AKIA[A-Z0-9]{16,}",
+        "hex": "[0-9a-f]{24,}",
+    }
+    found = []
+    for i, rule in enumerate(RULES):
+        p = "'" + pattern[rule.kind].replace("'", "''") + "'"
+        group = f"regexp_extract_all(text, {p}, 2)" if rule.kind == "assign" else f"regexp_extract_all(text, {p})"
+        found.append(f"select doc_id, {i} place, '{rule.kind}' kind, {rule.least if rule.kind == 'assign' else 0} least, regexp_split_to_array(text, {p}) pieces, regexp_extract_all(text, {p}) matches, {group} own from d")
+    counts = ", ".join(f"count(*) filter (kind = '{k}') n_{k}" for k in BASE_KINDS)
+    joined = lambda where: f"coalesce(string_agg(kind || ':' || a || ':' || b, ',' order by a, place){where}, '')"
+    return f"""
+with d as (select doc_id, coalesce(text, '') text from documents),
+m as ({" union all ".join(found)}),
+u as (select doc_id, place, kind, least, unnest(range(len(matches))) i, unnest(matches) match, unnest(pieces[1:len(matches)]) piece, unnest(own) own from m),
+s as (select *, sum(length(piece) + length(match)) over (partition by doc_id, place order by i) b from u),
+t as (select doc_id, place, kind, (b - length(match))::bigint a, b::bigint b from s where length(own) >= least),
+g as (select doc_id, {counts}, {joined(" filter (place < " + str(len(BASE_KINDS)) + ")")} base, {joined("")} spans from t group by doc_id)
+select d.doc_id, {", ".join(f"coalesce(n_{k}, 0) n_{k}" for k in BASE_KINDS)}, sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans from d left join g using (doc_id)"""
+
+
+#: The same by DuckDB's own regexes.
+OP8_SQL = _sql()
