@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from sievemill.llm.language_model import op10_language_model
 from sievemill.llm.line_dedup import OP5_SQL, op5_line_dedup
-from sievemill.llm.mixing import op1_mixing
+from sievemill.llm.mixing import OP1_SQL, op1_mixing
 from sievemill.llm.nearest import op3_nearest
 from sievemill.llm.ngram_join import op6_ngram_join
 from sievemill.llm.packing import op9_packing
-from sievemill.llm.quality import op7_quality
-from sievemill.llm.secrets import op8_secrets
+from sievemill.llm.quality import OP7_SQL, op7_quality
+from sievemill.llm.secrets import OP8_SQL, op8_secrets
 
 from sievemill.llm.tokens import op2_token_counts
 from sievemill.llm.substrings import op4_substrings
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_nearest, op4_substrings, op5_line_dedup, op6_ngram_join, op7_quality, op8_secrets, op9_packing, op10_language_model)}
-ORACLE_SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op5_line_dedup": OP5_SQL, "op7_quality": OP7_SQL, "op8_secrets": OP8_SQL}

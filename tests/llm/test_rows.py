@@ -38,7 +38,7 @@ def fill(sizes, cycle=(1, 2, 3), cap=3):
 
 def test_mixing(spark, docs, rows, empty):
     slim = mixing.with_size_and_weight(docs.select("doc_id", "source", "text"))
-    out = mixing.mix(slim, "size", "weight").collect()
+    out = mixing.mix(slim, "size", "weight", ties=("tie",)).collect()
     assert len(out) == len(rows)
     sizes = collections.Counter()
     for r in rows:
@@ -52,12 +52,23 @@ def test_mixing(spark, docs, rows, empty):
     for s in sizes:
         assert abs(taken[s] - want[s]) <= max(len(split(r[1])) for r in rows) / 2 + 1
     key = lambda r: (str(r["doc_id"]), r["text"] or "", r["taken"])
-    assert sorted(map(key, mixing.mix(slim.repartition(9), "size", "weight").collect())) == sorted(map(key, out))
+    assert sorted(map(key, mixing.mix(slim.repartition(9), "size", "weight", ties=("tie",)).collect())) == sorted(map(key, out))
     assert mixing.mix(mixing.with_size_and_weight(empty.select("doc_id", "source", "text")), "size", "weight").count() == 0
     repeated = mixing.repeat_documents(docs)
     assert repeated.columns == docs.columns and repeated.agg(F.sum(mixing.word_count(F.col("text")))).first()[0] == sum(taken.values())
 
 
+def test_mixing_of_repeated_ids(spark):
+    """Different texts under one id, and under none: reruns agree however the rows are dealt."""
+    rows = [(7 if i % 2 else None, "a" if i % 3 else "b", " ".join(f"w{i}{k}" for k in range(5 + i))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    runs = []
+    for parts in (1, 3, 8):
+        slim = mixing.with_size_and_weight(df.repartition(parts))
+        runs.append(sorted((r["text"], r["copies"]) for r in mixing.mix(slim, "size", "weight", ties=("tie",)).collect()))
+    assert runs[0] == runs[1] == runs[2] and len({c for _, c in runs[0]}) > 1
+
+
 def test_mixing_prefers_weight(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, "a").otherwise("b").alias("source"), F.lit(1).cast("long").alias("size"), F.when(F.col("id") % 2 == 0, 4.0).otherwise(1.0).alias("weight"))
     out = mixing.mix(df, "size", "weight").where("source = 'a'").groupBy("weight").agg(F.sum("copies").alias("n")).collect()
@@ -122,6 +133,58 @@ def test_quality(spark, docs, rows, empty):
     assert {r[0] for r in clean} <= left
 
 
+def test_quality_thresholds_by_brute_force(spark):
+    """kept against exact quantiles: all but documents within the sketches' accuracy of a fence."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(900):
+        lang, source = rng.choice([("en", "a")] * 8 + [("en", "b"), ("de", "a"), (None, None)])
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(30, 200))]
+        if rng.random() < 0.2:
+            words = [w + rng.choice(["#", "##", "|$%", ""]) for w in words]
+        lines = [" ".join(words[k : k + 10]) for k in range(0, len(words), 10)]
+        rows.append((i, "\n".join(lines + lines[: rng.choice([0, 0, 0, 1])]), lang, source))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    feats = quality.features(df)
+    judged = {r["doc_id"]: r for r in quality.judge(feats, quality.thresholds(feats)).collect()}
+
+    def metrics(text):
+        n_words, chars, symbols, dups, _ = base(text)
+        return {"symbols_per_word": symbols / max(1, n_words), "dup_line_share": dups / max(1, len(text.split("\n"))), "word_length": chars / max(1, n_words)}
+
+    passed = [r for r in rows if base(r[1])[0] >= 10 and 100 * base(r[1])[4] <= 20 * base(r[1])[0]]
+    measured = {r[0]: metrics(r[1]) for r in rows}
+
+    def fences(own):
+        out = {}
+        for m, (spread, above, below) in quality.FENCES.items():
+            values = sorted(measured[r[0]][m] for r in own)
+            q25, q50 = (values[max(0, math.ceil(q * len(values)) - 1)] for q in (0.25, 0.5))
+            wide = max(q50 - q25, spread)
+            out[m] = (-math.inf if below is None else q50 - below * wide, q50 + above * wide)
+        return out
+
+    def blend(n, own, more):
+        return {m: tuple((n * x + quality.BORROWED * y) / (n + quality.BORROWED) for x, y in zip(own[m], more[m])) for m in own}
+
+    everything, rejected = fences(passed), 0
+    for doc_id, text, lang, source in rows:
+        of_lang, of_group = ([r for r in passed if r[2] == lang and (r[3] == source or not narrow)] for narrow in (False, True))
+        limits = blend(len(of_lang), fences(of_lang), everything)
+        limits = blend(len(of_group), fences(of_group), limits)
+        clear, keep = True, not judged[doc_id]["base_failed"]
+        for m, (low, high) in limits.items():
+            slack = (high - low) / 2 * 40 / max(1, base(text)[0]) if quality.FENCES[m][2] else 0.0
+            near = 0.12 * max(abs(high), 0.02) + slack * 0.1
+            v = measured[doc_id][m]
+            clear = clear and abs(v - high - slack) > near and abs(v - low + slack) > near
+            keep = keep and low - slack <= v <= high + slack
+        rejected += not keep
+        if clear:
+            assert judged[doc_id]["kept"] == keep, (doc_id, measured[doc_id], limits)
+    assert 20 < rejected < 500
+
+
 def test_quality_quantiles(spark):
     """A quantile read from the sketch is within its accuracy, however the rows are dealt."""
     rng = random.Random(2)
@@ -143,9 +206,20 @@ def test_secrets(spark, docs, rows, empty):
     assert len(out) == len(rows)
     texts = {r[0]: r[1] for r in rows}
     for r in out:
+        for rule in secrets.RULES:
+            own = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == rule.kind]
+            assert own == [m.span() for m in re.finditer(rule.pattern, texts[r["doc_id"]] or "", re.ASCII) if len(m.group(rule.group)) >= rule.least]
         spans = [s for s in r["spans"] if s["kind"] in secrets.BASE_KINDS]
         assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans) == brute_secrets(texts[r["doc_id"]])
     assert any(r["spans"] for r in out) and secrets.scan(empty).count() == 0
+    keys = ["-----BEGIN RSA PRIVATE KEY-----", "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl", "ghp_" + "a1B2" * 9, "xoxb-12345-abcdefgh", "sk_live_" + "4eC39HqL" * 2]
+    more = [(i, f"{'é' * i} here is {k}, and\n{k.lower()} {k[:-1]}") for i, k in enumerate(keys)]
+    for r in secrets.scan(spark.createDataFrame(more, "doc_id long, text string")).collect():
+        text = more[r["doc_id"]][1]
+        for rule in secrets.RULES:
+            own = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == rule.kind]
+            assert own == [m.span() for m in re.finditer(rule.pattern, text, re.ASCII) if len(m.group(rule.group)) >= rule.least]
+        assert any(s["kind"] == secrets.RULES[3 + r["doc_id"]].kind for s in r["spans"])
 
 
 def test_trigram_queries():
