@@ -3,13 +3,14 @@
 A document's set is its distinct word shingles. Two sets with Jaccard similarity of at least the threshold differ in
 at most k elements, k fixed by their sizes. Sizes fall into bands that grow by 1 / threshold; a set signs for its own
 band and for the next one, so any two sets that may link share a band's layout. A layout cuts the domain of shingle
-hashes into n1 partitions of n2 cells: k differences leave a partition with k2 of them at most, and then the cells
-of some subset of n2 - k2 are equal. Each subset's content, hashed, is a signature; equal sets aside, linked sets
-share one.
+hashes into n1 partitions of CELLS cells: k differences leave a partition with SPARED of them at most, and then the
+cells of some subset of CELLS - SPARED are equal. Each subset's content, hashed, is a signature; equal sets aside,
+linked sets share one.
 
 Equal sets are one node. Where many nodes share a signature, they aren't compared pair by pair: each is compared with
-a pivot, and only nodes that stay in different components are compared further, until none is left. Every candidate is
-checked on its whole shingle set, and no link that joins two components is lost.
+a pivot, and only nodes that stay in different components are compared further, until none is left. Candidates are
+ruled out by fingerprints, small enough to be written for each row; those left are checked on whole sets, made anew
+from the texts, and no link that joins two components is lost. Neither sets nor signatures of all nodes are written.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, mix, pack, partitions
+from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, mix, pack, partitions, release
 
-#: Up to this many differences, a layout has three cells a partition and its subsets leave one out; beyond, one cell.
-ENUMERATED = 40
+#: Cells of a partition, and how many of them a subset leaves out.
+CELLS, SPARED = 3, 1
 #: Nodes of a signature, by rank, that are compared with all others in other components, round by round; the last round leaves none.
 ROUNDS = ((0, 1), (1, 8), (8, 1 << 40))
 #: Signatures that meet in one task of these rounds, on average.
 SIGNATURES_A_TASK = 1 << 17
+#: Nodes that are compared with one pivot in one task, on average.
+STAR = 256
 FLUSH = 1 << 21
 U = np.uint64
 
@@ -61,7 +64,7 @@ class Similarity:
         k = self.differences(band)
         if k == 0:
             return None
-        n2, k2 = (3, 1) if k <= ENUMERATED else (1, 0)
+        n2, k2 = CELLS, SPARED
         least = k // (k2 + 1) + 1
         spare = 0 if least < 8 else 2 + least // 24
         n1 = least + spare
@@ -126,11 +129,27 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     return out
 
 
-def node_of(s: np.ndarray) -> int:
-    """A set's 64-bit identity."""
+def identity(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit hashes of a set, of different sums."""
     total = np.array([mix(s ^ U(0x2545F4914F6CDD1D)).sum(dtype=U), mix(s + U(0x9E3779B97F4A7C15)).sum(dtype=U)])
     mixed = mix(total + U(len(s)))
-    return int(mix(mixed[:1] + mixed[1:] * U(3)).view(np.int64)[0])
+    both = mix(mixed * U(3) + mixed[::-1]).view(np.int64)
+    return int(both[0]), int(both[1])
+
+
+class Naming:
+    """Names sets by 64 bits of their 128-bit identities; where two different ones have these in common (collided), by the other 64."""
+
+    def __init__(self, bits: int = 64, collided: frozenset[int] = frozenset()):
+        self.bits, self.collided = bits, collided
+
+    def first(self, s: np.ndarray) -> tuple[int, int]:
+        a, b = identity(s)
+        return a >> (64 - self.bits), b
+
+    def node(self, s: np.ndarray) -> int:
+        a, b = self.first(s)
+        return b if a in self.collided else a
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,47 +187,52 @@ def _star(signature: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def fingerprint(s: np.ndarray) -> np.ndarray:
-    """A byte for each of as many cells as the set has elements, or up to twice as many: the sum of its elements'
-    hashes. Two cells add up to the one cell of half as many."""
-    bits = max(1, int(len(s) - 1).bit_length())
-    total = np.bincount((s >> U(64 - bits)).astype(np.int64), (mix(s) & U(255)).astype(float), 1 << bits)
-    return total.astype(np.int64).astype(np.uint8)
-
-
-def cells_apart(p: np.ndarray, q: np.ndarray) -> int:
-    """Cells in which two fingerprints differ: no more than the elements in which the sets differ."""
-    while len(p) > len(q):
-        p = p[::2] + p[1::2]
-    while len(q) > len(p):
-        q = q[::2] + q[1::2]
-    return int(np.count_nonzero(p != q))
+    """Four bits for each of half as many cells as the set has elements, or up to as many: the sum of its elements'
+    hashes. Two cells add up to the one cell of half as many. Two cells a byte, two cells at least."""
+    bits = max(1, int(len(s) - 1).bit_length() - 1)
+    total = np.bincount((s >> U(64 - bits)).astype(np.int64), (mix(s) & U(15)).astype(float), 1 << bits).astype(np.int64)
+    return ((total[::2] & 15) | (total[1::2] & 15) << 4).astype(np.uint8)
 
 
 PACKED = "bucket int, kind int, a binary, b binary, c binary"
 
 
 def _packed(rows: list[tuple[int, int, bytes, bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "kind", "a", "b", "c"])
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["bucket", "kind", "a", "b", "c"])
+
 
+def _by_node(signature: np.ndarray, node: np.ndarray, wide: int, kind: str) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
+    """A row for each bucket of signatures: its nodes (any fixed-size values), once each, how many signatures each has
+    there, and these, as the upper bytes that kind holds."""
+    names, at = np.unique(node, return_inverse=True)
+    shift = U(64 - 8 * np.dtype(kind).itemsize)
+    order = np.argsort(at, kind="stable")
+    for k, (own, place) in pack((signature[order] % U(wide)).astype(np.int64), (signature[order] >> shift).astype(kind), at[order]):
+        place = np.frombuffer(place, np.int64)
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        yield k, 0, names[place[first]].tobytes(), np.diff(np.append(first, len(place))).astype("<u4").tobytes(), own
 
-def candidate_pairs(docs: DataFrame, percent: int, n: int) -> DataFrame:
+
+def candidate_pairs(docs: DataFrame, percent: int, n: int, naming: Naming) -> DataFrame:
     """(a, b, weight) of nodes: a tree over the nodes of each signature. A task sends on one node of a signature, so no
-    signature has more rows in one task than there are tasks before it."""
-    wide = partitions(docs.sparkSession) * 4
+    signature has more rows in one task than there are tasks before it. Signatures meet by their bucket and upper four
+    bytes; an accidental meeting makes one more candidate."""
+    wide = partitions(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim, held, nodes, seen, total = similarity(percent), [], [], set(), 0
 
         def flush():
             signature, node, a, b, weight = _star(np.concatenate(held), np.repeat(np.array(nodes, np.int64), [len(x) for x in held]))
-            rows = [(k, 0, *x, b"") for k, x in pack((signature % U(wide)).astype(np.int64), signature, node)]
+            rows = list(_by_node(signature, node, wide, "<u4"))
             rows += [(k, 1, *x) for k, x in pack(a % wide, a, b, weight)]
             held.clear(), nodes.clear(), seen.clear()
             return _packed(rows)
 
         for batch in batches:
             for s in shingle_sets(as_bytes(batch.column(0)), n):
-                if len(s) and (node := node_of(s)) not in seen:
+                if len(s) and (node := naming.node(s)) not in seen:
                     seen.add(node)
                     nodes.append(node)
                     held.append(sim.signatures(s))
@@ -225,74 +249,100 @@ def candidate_pairs(docs: DataFrame, percent: int, n: int) -> DataFrame:
             for kind, *x in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
                 sides[kind].append(x)
         column = lambda k, i, t: np.frombuffer(b"".join(x[i] for x in sides[k]), t)
-        own = _star(column(0, 0, U), column(0, 1, np.int64))[2:]
+        own = _star(column(0, 2, "<u4"), np.repeat(column(0, 0, np.int64), column(0, 1, "<u4")))[2:]
         a, b, weight = (np.concatenate([x, column(1, i, np.int64)]) for i, x in enumerate(own))
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(weight)], ["a", "b", "weight"])
 
-    found = docs.select("text").mapInArrow(sign, PACKED).repartition(partitions(docs.sparkSession), "bucket").mapInArrow(meet, "a long, b long, weight long")
+    signed = docs.select("text").mapInArrow(sign, PACKED)
+    found = signed.repartitionById(wide, F.col("bucket")).mapInArrow(meet, "a long, b long, weight long")
     return found.groupBy("a", "b").agg(F.sum("weight").alias("weight"))
 
 
-def members(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, node) of each row; an empty set has no node."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(as_bytes(batch.column(1)), n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n_shingles", "node"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, node long")
+MEMBER = "doc_id long, n_shingles long, node long, check long, print binary"
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, size, shingles, print: the fingerprint) of wanted (node, wanted_id)."""
+def members(docs: DataFrame, n: int, naming: Naming) -> DataFrame:
+    """(doc_id, n_shingles, node, check: the other half of the identity, print: the fingerprint) of each row; an empty
+    set has none of the last three."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(as_bytes(batch.column(1)), n)
-            rows = [(w, len(s), s.tobytes(), fingerprint(s).tobytes()) for w, s in zip(batch.column(0).to_pylist(), sets) if len(s) and node_of(s) == w]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["node", "size", "shingles", "print"])
+            rows = [(len(s), naming.node(s), naming.first(s)[1], fingerprint(s).tobytes()) if len(s) else (0, None, None, None) for s in sets]
+            made = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["doc_id", "n_shingles", "node", "check", "print"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, MEMBER)
+
 
-    chosen = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, F.expr("doc_id <=> wanted_id")).select("node", "text")
-    return chosen.mapInArrow(run, "node long, size long, shingles binary, print binary")
+def nodes_of(rows: DataFrame) -> DataFrame:
+    """(node, least: its smallest doc_id, size, print, low, high: of its checks)."""
+    numbers = [F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.min("check").alias("low"), F.max("check").alias("high")]
+    return rows.where(F.col("node").isNotNull()).groupBy("node").agg(*numbers, F.first("print").alias("print"))
 
 
-def _sides(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
-    """pairs with the columns of both nodes' sets."""
-    side = lambda end: sets.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{c}_{end}" for end in "ab" for c in columns])
+def texts_of(docs: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """columns of wanted (node, least and others) with the texts of their nodes, and some of other rows that have the
+    same doc_id. wanted is written first: a small table goes to where the texts lie, for its known size."""
+    found = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(cut(wanted.select("least", *columns)), F.expr("_id <=> least"))
+    return found.select(*columns, "text")
 
 
-def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs with near boolean: false where sizes or fingerprints show that a pair doesn't link."""
+def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and fingerprints don't rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim = similarity(percent)
         for batch in batches:
-            found = [sim.may_link(abs(m - n), m, n) and sim.may_link(cells_apart(np.frombuffer(p.as_buffer(), np.uint8), np.frombuffer(q.as_buffer(), np.uint8)), m, n) for m, p, n, q in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.bool_())], ["a", "b", "near"])
+            a, b = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+            prints = Prints([x.as_buffer() for c in ("print_a", "print_b") for x in batch.column(c)])
+            apart = np.maximum(np.abs(a - b), prints.apart(np.arange(len(a)), np.arange(len(a)) + len(a)))
+            yield batch.select(["a", "b"]).filter(pa.array(sim.may_link(apart, a, b)))
 
-    return _sides(pairs, sets, "size", "print").mapInArrow(run, "a long, b long, near boolean").distinct()
+    side = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("print").alias(f"print_{end}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.select("a", "b", "size_a", "size_b", "print_a", "print_b").mapInArrow(run, "a long, b long")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs with linked boolean, from whole sets."""
+def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, n: int, naming: Naming) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose whole sets link.
+
+    The end with more pairs is the pivot; its text goes once to each group of about STAR of the others."""
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    of = lambda end: degree.select(F.col("node").alias(end), F.col("degree").alias(f"of_{end}"))
+    turned = F.when(F.col("of_a") >= F.col("of_b"), F.struct(F.col("a").alias("star"), F.col("b").alias("node"), F.col("of_a").alias("degree")))
+    turned = turned.otherwise(F.struct(F.col("b").alias("star"), F.col("a").alias("node"), F.col("of_b").alias("degree")))
+    stars = pairs.join(of("a"), "a").join(of("b"), "b").select(turned.alias("x")).select("x.*").withColumn("parts", F.ceil(F.col("degree") / STAR).cast("int"))
+    leaves = stars.select("star", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node", F.lit(False).alias("pivot"))
+    pivots = stars.select("star", "parts").distinct().select("star", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("star").alias("node"), F.lit(True).alias("pivot"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sim = similarity(percent)
+        sim, at, pivot = similarity(percent), None, None
         for batch in batches:
-            found = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                both = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)]))
-                found.append(sim.links(int(np.count_nonzero(both[1:] == both[:-1])), len(both), 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.bool_())], ["a", "b", "linked"])
-
-    return _sides(pairs, sets, "shingles").mapInArrow(run, "a long, b long, linked boolean").distinct()
+            texts, a, b = as_bytes(batch.column(4)), [], []
+            for lo, hi in chunks([len(t) for t in texts]):
+                part = batch.slice(lo, hi - lo)
+                for star, k, node, is_pivot, s in zip(*(part.column(i).to_pylist() for i in range(4)), shingle_sets(texts[lo:hi], n)):
+                    if not len(s) or naming.node(s) != node:
+                        continue
+                    if is_pivot:
+                        at, pivot = (star, k), s
+                    elif at == (star, k):
+                        both = np.sort(np.concatenate([pivot, s]))
+                        if sim.links(int(np.count_nonzero(both[1:] == both[:-1])), len(pivot), len(s)):
+                            a.append(min(star, node))
+                            b.append(max(star, node))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    wanted = leaves.unionByName(pivots).join(nodes.select("node", "least"), "node")
+    texts = texts_of(docs, wanted, "star", "part", "node", "pivot")
+    dealt = texts.repartition(partitions(docs.sparkSession), "star", "part").sortWithinPartitions("star", "part", F.desc("pivot"))
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component: its smallest node) of the nodes in edges (a, b), by smallest labels and pointer jumps, a
+    """(node, component: its smallest node, was) of the nodes in edges (a, b), by smallest labels and pointer jumps, a
     written table each round."""
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "other"))
     labels = cut(both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")))
@@ -300,18 +350,19 @@ def components(edges: DataFrame) -> DataFrame:
         seen = both.join(labels.select(F.col("node").alias("other"), "component"), "other").groupBy("node").agg(F.min("component").alias("near"))
         least = labels.join(seen, "node").select("node", F.least("component", "near").alias("component"), F.col("component").alias("was"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        labels = cut(least.join(jump, "component", "left").select("node", F.least("component", F.coalesce("up", "component")).alias("component"), "was"))
-        moved = labels.where("component <> was").limit(1).count()
-        labels = labels.select("node", "component")
-        if not moved:
+        after = cut(least.join(jump, "component", "left").select("node", F.least("component", F.coalesce("up", "component")).alias("component"), "was"))
+        release(labels)
+        labels = after
+        if labels.where("component <> was").isEmpty():
+            release(both)
             return labels
 
 
 class Prints:
-    """Fingerprints of half as many cells as elements, or up to as many, four bits each, in one matrix for each width."""
+    """Fingerprints in one matrix for each width."""
 
-    def __init__(self, size: np.ndarray, packed: list[bytes]):
-        width = np.array([len(x) * 2 for x in packed])
+    def __init__(self, packed: list[bytes]):
+        width = np.array([len(x) * 2 for x in packed], np.int64)
         self.width, self.row, self.matrix = width, np.zeros(len(packed), np.int64), {}
         for w in np.unique(width).tolist():
             own = np.flatnonzero(width == w)
@@ -319,14 +370,8 @@ class Prints:
             self.matrix[w] = np.stack([flat & 15, flat >> 4], axis=2).reshape(len(own), -1)
             self.row[own] = np.arange(len(own))
 
-    @staticmethod
-    def packed(print_: bytes) -> bytes:
-        p = np.frombuffer(print_, np.uint8)
-        p = p[::2] + p[1::2] if len(p) >= 4 else p
-        return ((p[::2] & 15) | (p[1::2] & 15) << 4).tobytes()
-
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Cells in which the prints of each pair differ."""
+        """Cells in which the prints of each pair differ: no more than the elements in which the sets differ."""
         out = np.zeros(len(a), np.int64)
         widths = np.stack([self.width[a], self.width[b]], axis=1)
         for u, v in np.unique(widths, axis=0).tolist():
@@ -346,27 +391,31 @@ class Prints:
 NODE = np.dtype([("node", "<i8"), ("component", "<i8"), ("size", "<i8")])
 
 
-def mixed_signatures(sets: DataFrame, percent: int) -> DataFrame:
-    """Of sets (node, component, shingles): (node, signatures) with those signatures that nodes of several components have."""
-    wide = partitions(sets.sparkSession)
+MIXED = np.dtype([("node", "<i8"), ("component", "<i8")])
+
+
+def mixed_signatures(texts: DataFrame, percent: int, n: int, naming: Naming) -> DataFrame:
+    """Of texts (node, component, text): (node, signatures) with those signatures that nodes of several components have."""
+    wide = partitions(texts.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim = similarity(percent)
         for batch in batches:
-            found = [sim.signatures(np.frombuffer(x.as_buffer(), U)) for x in batch.column(2)]
-            if found:
-                times = [len(x) for x in found]
-                signature = np.concatenate(found)
-                node, component = (np.repeat(batch.column(i).to_numpy(), times) for i in (0, 1))
-                yield _packed([(k, 0, *x) for k, x in pack((signature % U(wide)).astype(np.int64), signature, node, component)])
+            sets = shingle_sets(as_bytes(batch.column(2)), n)
+            own = [i for i, (s, node) in enumerate(zip(sets, batch.column(0).to_pylist())) if len(s) and naming.node(s) == node]
+            if own:
+                found, node = [sim.signatures(sets[i]) for i in own], np.zeros(len(own), MIXED)
+                node["node"], node["component"] = (batch.column(i).to_numpy()[own] for i in (0, 1))
+                yield _packed(list(_by_node(np.concatenate(found), np.repeat(node, [len(x) for x in found]), wide, "<u8")))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [x for batch in batches for x in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
-        signature, node, component = (np.frombuffer(b"".join(x[i] for x in parts), t) for i, t in enumerate((U, np.int64, np.int64)))
+        of, times, signature = (np.frombuffer(b"".join(x[i] for x in parts), t) for i, t in enumerate((MIXED, "<u4", U)))
         if not len(signature):
             return
         order = np.argsort(signature, kind="stable")
-        signature, node, component = signature[order], node[order], component[order]
+        signature, of = signature[order], np.repeat(of, times)[order]
+        node, component = of["node"], of["component"]
         edges = np.concatenate([[0], np.flatnonzero(np.diff(signature)) + 1])
         mixed = np.minimum.reduceat(component, edges) != np.maximum.reduceat(component, edges)
         own = np.flatnonzero(np.repeat(mixed, np.diff(np.append(edges, len(signature)))))
@@ -376,8 +425,8 @@ def mixed_signatures(sets: DataFrame, percent: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(signature[own].view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(node[own][at[:-1]]), lists], ["node", "signatures"])
 
-    packed = sets.select("node", "component", "shingles").mapInArrow(sign, PACKED)
-    return packed.repartitionById(wide, F.col("bucket")).mapInArrow(meet, "node long, signatures array<long>").groupBy("node").agg(F.flatten(F.collect_list("signatures")).alias("signatures"))
+    met = texts.mapInArrow(sign, PACKED).repartitionById(wide, F.col("bucket")).mapInArrow(meet, "node long, signatures array<long>")
+    return met.groupBy("node").agg(F.flatten(F.collect_list("signatures")).alias("signatures"))
 
 
 def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int, wide: int) -> DataFrame:
@@ -389,7 +438,7 @@ def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int, wide:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [Prints.packed(x.as_buffer()) for x in batch.column(3)]
+            prints = batch.column(3).to_pylist()
             node = np.zeros(len(prints), NODE)
             node["node"], node["component"], node["size"] = (batch.column(i) for i in range(3))
             rows = []
@@ -416,7 +465,7 @@ def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int, wide:
         signature, node = np.concatenate(signatures), np.concatenate(nodes)
         _, index, inverse = np.unique(node["node"], return_index=True, return_inverse=True)
         node, at = node[index], inverse[np.concatenate(places)]
-        table = Prints(node["size"], [prints[i] for i in index])
+        table = Prints([prints[i] for i in index])
         order = np.lexsort((at, signature))
         signature, at = signature[order], at[order]
         component = node["component"][at]
@@ -453,49 +502,77 @@ def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int, wide:
     return packed.repartitionById(wide, F.col("bucket")).mapInArrow(meet, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
+def join(docs: DataFrame, percent: int = 85, n: int = 4, identity_bits: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs (doc_id, text).
 
     Null or empty text, or one without words: an empty set, linked with nothing; component_id is the own doc_id.
     Repeated rows and equal texts share a component. A null doc_id never is a component_id where the component has
-    others. Other columns are not read. An empty table gives an empty table.
+    others. Other columns are not read. An empty table gives an empty table. Texts of any length are taken whole, one at
+    a time. docs is read once a step: write it first where it is dear to make.
     """
-    rows = cut(members(docs, n))
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
-    pairs = cut(candidate_pairs(docs, percent, n))
-    active = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = cut(sets_of(docs, active.join(nodes, "node").select("node", F.col("least").alias("wanted_id")), n))
-    # The heaviest pair of each node goes first; it mostly links, and few pairs are left between components.
-    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other"), "weight"), F.struct(F.col("b").alias("node"), F.col("a").alias("other"), "weight"))).alias("x")).select("x.*")
-    best = ends.groupBy("node").agg(F.max_by("other", F.struct("weight", "other")).alias("other")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    edges = cut(linked(near(best, sets, percent).where("near").select("a", "b"), sets, percent).where("linked")).select("a", "b")
+    naming = Naming(identity_bits)
+    rows = cut(members(docs, n, naming))
+    nodes = cut(nodes_of(rows))
+    # Different sets with one name: about n * n / 2^65 of n sets.
+    collided = frozenset(r[0] for r in nodes.where("low <> high").select("node").collect())
+    if collided:
+        release(rows, nodes)
+        naming = Naming(identity_bits, collided)
+        rows = cut(members(docs, n, naming))
+        nodes = cut(nodes_of(rows))
+    pairs = cut(candidate_pairs(docs, percent, n, naming))
+    edges = cut(linked(cut(near(heaviest(pairs), nodes, percent)), nodes, docs, percent, n, naming))
     labels = components(edges)
-    at = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-    named = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")).where("of_a <> of_b")
-    apart = named.select(F.explode(F.array("of_a", "of_b")).alias("component")).distinct()
-    placed = lambda: sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = cut(mixed_signatures(placed().join(apart, "component", "left_semi"), percent))
+    mixed = cut(mixed_signatures(texts_of(docs, apart(pairs, nodes, labels), "node", "component"), percent, n, naming))
+    release(pairs)
     total = mixed.agg(F.sum(F.size("signatures"))).first()[0] or 0
     wide = min(partitions(docs.sparkSession), 1 + total // SIGNATURES_A_TASK)
-    for first, end in ROUNDS:
-        more = unresolved_pairs(placed().join(mixed, "node"), percent, first, end, wide)
-        found = cut(linked(more, sets, percent).where("linked"))
-        if found.limit(1).count():
-            edges = edges.union(found.select("a", "b"))
+    for first, end in ROUNDS if total else ():
+        more = cut(unresolved_pairs(placed(nodes, labels).join(mixed, "node"), percent, first, end, wide))
+        if more.isEmpty():
+            continue
+        found = cut(linked(more, nodes, docs, percent, n, naming))
+        release(more)
+        if not found.isEmpty():
+            edges = edges.unionByName(found)
+            release(labels)
             labels = components(edges)
-    placed = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = placed.join(least, "component").select("node", "component_id")
+    release(mixed)
+    named = placed(nodes, labels)
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(least, "component").select("node", "component_id")
     full = rows.where(F.col("node").isNotNull()).join(named, "node").select("doc_id", "n_shingles", "component_id")
     return full.union(rows.where(F.col("node").isNull()).select("doc_id", "n_shingles", "doc_id"))
 
 
+def heaviest(pairs: DataFrame) -> DataFrame:
+    """Each node's pair (a, b) that shares most signatures: it mostly links, and few pairs are left between components."""
+    ends = [F.struct(F.col(x).alias("node"), F.col(y).alias("other"), "weight") for x, y in ("ab", "ba")]
+    best = pairs.select(F.explode(F.array(*ends)).alias("x")).select("x.*").groupBy("node").agg(F.max_by("other", F.struct("weight", "other")).alias("other"))
+    return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def placed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """nodes with component, their own where no label names one."""
+    return nodes.join(labels.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def apart(pairs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """nodes, with component, of the components between which there are pairs."""
+    at = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    named = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b"))
+    open_ = named.where("of_a <> of_b").select(F.explode(F.array("of_a", "of_b")).alias("component")).distinct()
+    return placed(nodes, labels).join(open_, "component", "left_semi")
+
+
 def keep_one(docs: DataFrame, percent: int = 80, n: int = 5) -> DataFrame:
-    """docs without the near copies: of each component the row with the smallest doc_id stays, all others go. Rows
-    without words or without doc_id stay."""
+    """docs without the near copies: of each component the row with the smallest doc_id stays, all others go.
+
+    Rows without words (null or empty text) or without doc_id stay, and so do repeated rows of the doc_id that stays.
+    Other columns may have any names. An empty table gives an empty table."""
     joined = join(docs, percent, n)
-    gone = joined.where((F.col("component_id") != F.col("doc_id")) & (F.col("n_shingles") > 0)).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = cut(joined.where((F.col("component_id") != F.col("doc_id")) & (F.col("n_shingles") > 0)).select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_ngram_join(spark, sf_dir):

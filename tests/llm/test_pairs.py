@@ -187,6 +187,29 @@ def test_ngram_join_of_close_sets(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == {k[0]: v for k, v in want.items()}
 
 
+def test_ngram_join_tells_colliding_names_apart(docs, rows):
+    """Names of eight bits: many different sets have one, and go by the other half of their identities."""
+    want = brute_components(rows, 85, 4)
+    texts = {r[0]: r[1] for r in rows}
+    for r in ngram_join.join(docs, identity_bits=8).collect():
+        assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"], texts[r["doc_id"]]], r["doc_id"]
+
+
+def test_ngram_join_of_a_star(spark, monkeypatch):
+    """More near copies of one text than a task compares with one pivot, all linked with it."""
+    words = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(words))] + [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1 :])) for i in range(1, 120)]
+    linked = ngram_join.linked
+    naming = ngram_join.Naming()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    nodes = ngram_join.nodes_of(ngram_join.members(docs, 4, naming))
+    named = {r["least"]: r["node"] for r in nodes.collect()}
+    pairs = spark.createDataFrame([(min(named[0], named[i]), max(named[0], named[i])) for i in range(1, 120)], "a long, b long")
+    monkeypatch.setattr(ngram_join, "STAR", 16)
+    assert linked(pairs, nodes, docs, 85, 4, naming).count() == 119
+    assert linked(pairs, nodes, docs, 99, 4, naming).count() == 0
+
+
 def test_linked_sets_share_a_signature():
     """Also with empty cells: sets of all sizes, just within the threshold."""
     sim, rng = ngram_join.similarity(85), np.random.default_rng(4)
@@ -198,8 +221,8 @@ def test_linked_sets_share_a_signature():
             shared = len(np.intersect1d(a, b))
             if sim.links(shared, len(a), len(b)) and shared < max(len(a), len(b)):
                 assert set(sim.signatures(a)) & set(sim.signatures(b)), size
-                p, q = ngram_join.fingerprint(a), ngram_join.fingerprint(b)
-                assert sim.may_link(ngram_join.cells_apart(p, q), len(a), len(b))
+                prints = ngram_join.Prints([ngram_join.fingerprint(a).tobytes(), ngram_join.fingerprint(b).tobytes()])
+                assert sim.may_link(prints.apart(np.array([0]), np.array([1]))[0], len(a), len(b))
 
 
 def test_keep_one(docs, rows):
@@ -233,12 +256,29 @@ def test_line_dedup_is_native(docs):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
 
 
-def test_line_dedup_equals_sql(spark, sf):
-    import duckdb
-
-    duckdb.sql(f"create or replace view documents as select * from '{sf}/documents.parquet'")
-    want = sorted(duckdb.sql(f"select doc_id, n_lines, n_dropped, kept_sha256 from ({line_dedup.OP5_SQL})").fetchall())
-    assert sorted(map(tuple, line_dedup.op5_line_dedup(spark, sf).collect())) == want
+def test_lines_of_a_template_go_however_many_there_are(spark):
+    """One template with two fields of 30 values, one with few values, and a recurring short line, at three sizes."""
+    rng = random.Random(4)
+    for n in (60, 400, 2000):
+        texts = [
+            f"report sent by the user named{rng.randrange(30)} from room{rng.randrange(30)} to the main office\n"
+            f"all the signs of level {'abcdefghi'[rng.randrange(9)]} stand on side {'klmnopqrs'[rng.randrange(9)]} of this road today\n"
+            f"All rights reserved.\nmy own words {i} {rng.random()}"
+            for i in range(n)
+        ]
+        out = line_dedup.drop_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+        left = [r["text"].split("\n") for r in out]
+        assert sum(x.startswith("report sent") for t in left for x in t) <= 1, n
+        assert sum(x.startswith("all the signs") for t in left for x in t) <= 1, n
+        assert sum(x == "All rights reserved." for t in left for x in t) == 1 and all("my own words" in t[-1] for t in left)
+
+
+def test_each_line_of_a_document_counts(spark):
+    """Two footers of one leaf in the same documents, one of them mostly of digits, go both."""
+    footers = "call us at the office 10 20 30 40 50\ncall us at the office in our main town"
+    rows = [(i, f"text number {i} {'x' * i}\n{footers}") for i in range(40)]
+    out = line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sum("call us" in r["text"] for r in out) == 1 and sum(r["n_dropped"] for r in out) == 78
 
 
 def test_pipeline(spark, tmp_path, docs, rows):
