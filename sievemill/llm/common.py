@@ -88,7 +88,7 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def chunks(sizes: list[int], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def chunks(sizes: list[int], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows holding about limit bytes, one row at least."""
     at = total = 0
     for i, n in enumerate(sizes):
@@ -111,7 +111,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 5 << 18)
         tables = []
         for base in (_P, pow(_P, -1, 1 << 64)):
             steps = np.full(size, base, np.uint64)

@@ -34,7 +34,8 @@ ROUNDS = ((0, 1), (1, 8), (8, 1 << 40))
 SIGNATURES_A_TASK = 1 << 17
 #: Nodes that are compared with one pivot in one task, on average.
 STAR = 256
-FLUSH = 1 << 21
+#: Signatures that a task holds before it sends them on.
+FLUSH = 1 << 19
 U = np.uint64
 
 
@@ -202,10 +203,9 @@ def _packed(rows: list[tuple[int, int, bytes, bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["bucket", "kind", "a", "b", "c"])
 
 
-def _by_node(signature: np.ndarray, node: np.ndarray, wide: int, kind: str) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
-    """A row for each bucket of signatures: its nodes (any fixed-size values), once each, how many signatures each has
-    there, and these, as the upper bytes that kind holds."""
-    names, at = np.unique(node, return_inverse=True)
+def _by_node(signature: np.ndarray, at: np.ndarray, names: np.ndarray, wide: int, kind: str) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
+    """A row for each bucket of signatures: names (any fixed-size values) of the nodes that have any there, how many
+    each has, and these, as the upper bytes that kind holds. at: each signature's node."""
     shift = U(64 - 8 * np.dtype(kind).itemsize)
     order = np.argsort(at, kind="stable")
     for k, (own, place) in pack((signature[order] % U(wide)).astype(np.int64), (signature[order] >> shift).astype(kind), at[order]):
@@ -224,9 +224,10 @@ def candidate_pairs(docs: DataFrame, percent: int, n: int, naming: Naming) -> Da
         sim, held, nodes, seen, total = similarity(percent), [], [], set(), 0
 
         def flush():
-            signature, node, a, b, weight = _star(np.concatenate(held), np.repeat(np.array(nodes, np.int64), [len(x) for x in held]))
-            rows = list(_by_node(signature, node, wide, "<u4"))
-            rows += [(k, 1, *x) for k, x in pack(a % wide, a, b, weight)]
+            names = np.array(nodes, np.int64)
+            signature, at, a, b, weight = _star(np.concatenate(held), np.repeat(np.arange(len(names)), [len(x) for x in held]))
+            rows = list(_by_node(signature, at, names, wide, "<u4"))
+            rows += [(k, 1, *x) for k, x in pack(names[a] % wide, names[a], names[b], weight)]
             held.clear(), nodes.clear(), seen.clear()
             return _packed(rows)
 
@@ -401,12 +402,14 @@ def mixed_signatures(texts: DataFrame, percent: int, n: int, naming: Naming) ->
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim = similarity(percent)
         for batch in batches:
-            sets = shingle_sets(as_bytes(batch.column(2)), n)
-            own = [i for i, (s, node) in enumerate(zip(sets, batch.column(0).to_pylist())) if len(s) and naming.node(s) == node]
-            if own:
-                found, node = [sim.signatures(sets[i]) for i in own], np.zeros(len(own), MIXED)
-                node["node"], node["component"] = (batch.column(i).to_numpy()[own] for i in (0, 1))
-                yield _packed(list(_by_node(np.concatenate(found), np.repeat(node, [len(x) for x in found]), wide, "<u8")))
+            texts = as_bytes(batch.column(2))
+            for lo, hi in chunks([len(t) for t in texts]):
+                sets, node = shingle_sets(texts[lo:hi], n), batch.column(0)[lo:hi].to_pylist()
+                own = [i for i, s in enumerate(sets) if len(s) and naming.node(s) == node[i]]
+                if own:
+                    found, names = [sim.signatures(sets[i]) for i in own], np.zeros(len(own), MIXED)
+                    names["node"], names["component"] = (batch.column(i).to_numpy()[lo:hi][own] for i in (0, 1))
+                    yield _packed(list(_by_node(np.concatenate(found), np.repeat(np.arange(len(own)), [len(x) for x in found]), names, wide, "<u8")))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [x for batch in batches for x in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
