@@ -56,11 +56,12 @@ def containment_groups(df: DataFrame, identity: str, sequence: str) -> DataFrame
     return _named(base, edges, identity)
 
 
-def similarity_groups(df: DataFrame, identity: str, sequence: str, identity_at_least: float = 0.3, coverage_at_least: float = 0.8, k: int = 3) -> DataFrame:
+def similarity_groups(df: DataFrame, identity: str, sequence: str, identity_at_least: float = 0.3, coverage_at_least: float = 0.8, k: int = 0) -> DataFrame:
     """(identity, group_id): sequences whose global alignment reaches both bounds are one group, transitively.
 
     Coverage bounds the ratio of lengths, so candidates are pairs of sequences in the same or neighbouring length
-    bands that share a k-mer; with k = 0 all pairs of neighbouring bands are aligned, as is exact for any identity."""
+    bands, all of which are aligned: exact, and quadratic in a band. A k above 0 aligns only those that share a k-mer,
+    which misses pairs that link without one."""
     rate = 1 / coverage_at_least
     band = F.floor(F.log(F.greatest(F.length("s"), F.lit(1))) / F.log(F.lit(rate)))
     base = df.select(F.col(identity).alias("node"), F.col(sequence).alias("s")).withColumn("band", band)

@@ -45,7 +45,9 @@ def quota_sample(df: DataFrame, stratum: str, identity: str, total: int, seed: s
     """total rows, strata in proportion: ranks in hash order against quotas."""
     quotas = largest_remainder(df.groupBy(stratum).agg(F.count("*").alias("_size")), stratum, "_size", total).select(stratum, "quota")
     w = Window.partitionBy(stratum).orderBy(hash_order(F.col(identity), seed), identity)
-    return df.withColumn("_n", F.row_number().over(w)).join(quotas, stratum).where(F.col("_n") <= F.col("quota")).drop("_n", "quota")
+    # No quota is above total, which the planner knows: each task keeps that many rows of a stratum and sorts no more.
+    top = df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= total)
+    return top.join(quotas, stratum).where(F.col("_n") <= F.col("quota")).drop("_n", "quota")
 
 
 def representatives(df: DataFrame, group: str, identity: str, seed: str) -> DataFrame:
@@ -62,7 +64,8 @@ def representative_quota_sample(df: DataFrame, group: str, stratum: str, identit
 def round_robin(df: DataFrame, group: str, keys: list[str], n: int) -> DataFrame:
     """n rows, taking turns among groups: each group's largest keys first, groups by their largest key."""
     k = F.struct(*keys)
-    ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*[F.desc(c) for c in keys]))).withColumn("_most", F.max(k).over(Window.partitionBy(group)))
+    top = df.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*[F.desc(c) for c in keys]))).where(F.col("_n") <= n)
+    ranked = top.withColumn("_most", F.max(k).over(Window.partitionBy(group)))
     return ranked.orderBy("_n", F.desc("_most"), *[F.desc(c) for c in keys]).limit(n).drop("_n", "_most")
 
 
@@ -82,9 +85,11 @@ def opaque_ids(sample: DataFrame, order: Column, prefix: str, width: int = 3) ->
 
 def wrong_alternative(value: Column, upper: Column, identity: Column, seed: str) -> Column:
     """One of 0 to upper other than value, by hash; null where there is none."""
-    others = F.filter(F.sequence(F.lit(0), upper.cast("int")), lambda v: v != value)
-    at = F.pmod(F.conv(F.substring(hash_order(identity, seed), 1, 8), 16, 10).cast("long"), F.greatest(F.size(others), F.lit(1)))
-    return F.try_element_at(others, (at + 1).cast("int"))
+    drawn = F.conv(F.substring(hash_order(identity, seed), 1, 8), 16, 10).cast("long")
+    inside = value.between(0, upper)
+    others = upper + 1 - inside.cast("int")
+    at = F.pmod(drawn, F.greatest(others, F.lit(1)))
+    return F.when(others > 0, at + F.when(inside & (at >= value), 1).otherwise(0)).cast("int")
 
 
 def shuffled_options(options: Column, identity: Column, salt: str) -> Column:

@@ -134,3 +134,14 @@ def test_keys_boxes_repairs(spark):
     assert one(spark, literals.repair_json(F.col("t")), t="text {\"b\": 1} more") == '{"b": 1}'
     assert one(spark, literals.repair_json(F.col("t")), t="none") is None
     assert one(spark, literals.coalesce_answer(F.col("a"), F.col("b")), a="null", b='{"z": 1, "a": 2}') == '{"a": 2, "z": 1}'
+
+
+def test_mended_json_by_hand():
+    from sievemill.functions.literals import mend_json
+
+    assert mend_json('{"a": 1}') == '{"a": 1}'
+    assert mend_json('```json\n{"b": {"c": "}"}, "a": [1]}\n```') == '{"a": [1], "b": {"c": "}"}}'
+    assert mend_json('so: {"a": "\\alpha and \\u00e9 and \\"x"} there') == '{"a": "\\\\alpha and é and \\"x"}'
+    assert mend_json('{"a": "two\nlines"}') == '{"a": "two\\nlines"}'
+    for bad in (None, "", "none", "[1]", '{"a": 1', '{"a": 1} more', 'x {"a": 1} y }', '{"a" 1}', '{"a": "\\uzz"}'):
+        assert mend_json(bad) is None, bad
