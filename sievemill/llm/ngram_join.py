@@ -278,9 +278,14 @@ def members(docs: DataFrame, n: int, naming: Naming) -> DataFrame:
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
-    """(node, least: its smallest doc_id, size, print, low, high: of its checks)."""
-    numbers = [F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.min("check").alias("low"), F.max("check").alias("high")]
-    return rows.where(F.col("node").isNotNull()).groupBy("node").agg(*numbers, F.first("print").alias("print"))
+    """(node, least: its smallest doc_id, low, high: of its checks)."""
+    numbers = [F.min("doc_id").alias("least"), F.min("check").alias("low"), F.max("check").alias("high")]
+    return rows.where(F.col("node").isNotNull()).groupBy("node").agg(*numbers)
+
+
+def prints_of(rows: DataFrame) -> DataFrame:
+    """(node, size, print), apart from the nodes, which most joins need without it."""
+    return rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.max("n_shingles").alias("size"), F.first("print").alias("print"))
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
@@ -290,18 +295,18 @@ def texts_of(docs: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
     return found.select(*columns, "text")
 
 
-def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def near(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and fingerprints don't rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sim = similarity(percent)
         for batch in batches:
             a, b = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
-            prints = Prints([x.as_buffer() for c in ("print_a", "print_b") for x in batch.column(c)])
-            apart = np.maximum(np.abs(a - b), prints.apart(np.arange(len(a)), np.arange(len(a)) + len(a)))
+            table = Prints([x.as_buffer() for c in ("print_a", "print_b") for x in batch.column(c)])
+            apart = np.maximum(np.abs(a - b), table.apart(np.arange(len(a)), np.arange(len(a)) + len(a)))
             yield batch.select(["a", "b"]).filter(pa.array(sim.may_link(apart, a, b)))
 
-    side = lambda end: nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("print").alias(f"print_{end}"))
+    side = lambda end: prints.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("print").alias(f"print_{end}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     return joined.select("a", "b", "size_a", "size_b", "print_a", "print_b").mapInArrow(run, "a long, b long")
 
@@ -523,15 +528,17 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4, identity_bits: int = 64
         naming = Naming(identity_bits, collided)
         rows = cut(members(docs, n, naming))
         nodes = cut(nodes_of(rows))
+    prints = cut(prints_of(rows))
     pairs = cut(candidate_pairs(docs, percent, n, naming))
-    edges = cut(linked(cut(near(heaviest(pairs), nodes, percent)), nodes, docs, percent, n, naming))
+    edges = cut(linked(cut(near(heaviest(pairs), prints, percent)), nodes, docs, percent, n, naming))
     labels = components(edges)
-    mixed = cut(mixed_signatures(texts_of(docs, apart(pairs, nodes, labels), "node", "component"), percent, n, naming))
-    release(pairs)
+    # Joined with the fingerprints once, so that a round needs the labels only.
+    mixed = cut(mixed_signatures(texts_of(docs, apart(pairs, nodes, labels), "node", "component"), percent, n, naming).join(prints, "node"))
+    release(pairs, prints)
     total = mixed.agg(F.sum(F.size("signatures"))).first()[0] or 0
     wide = min(partitions(docs.sparkSession), 1 + total // SIGNATURES_A_TASK)
     for first, end in ROUNDS if total else ():
-        more = cut(unresolved_pairs(placed(nodes, labels).join(mixed, "node"), percent, first, end, wide))
+        more = cut(unresolved_pairs(placed(mixed, labels), percent, first, end, wide))
         if more.isEmpty():
             continue
         found = cut(linked(more, nodes, docs, percent, n, naming))
