@@ -310,6 +310,17 @@ def test_scoring(spark, docs, rows, empty):
     assert language_model.score(empty).count() == 0
 
 
+def test_scores_do_not_follow_the_partitions(spark, docs):
+    """The same scores, bit by bit, however many shuffle partitions there are."""
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    runs = []
+    for n in ("2", "7"):
+        spark.conf.set(key, n)
+        runs.append(sorted((str(r["doc_id"]), r["score"]) for r in language_model.score(docs.repartition(int(n)), 20_000).collect()))
+    spark.conf.set(key, before)
+    assert runs[0] == runs[1]
+
+
 def test_probabilities_sum_to_one():
     """Over all words and the unknown one, in every context."""
     import numpy as np
@@ -343,7 +354,8 @@ def test_sampler_gets_the_totals_of_all_tasks(spark, docs, monkeypatch):
     module, seen = language_model, []
     after = module.Totals.after.__func__
     monkeypatch.setattr(module.Totals, "after", classmethod(lambda cls, totals: (seen.append(list(totals)), after(cls, totals))[1]))
-    module.score(docs).count()
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    module.score(docs, total // 4 + 1 + total // 16).count()
     texts = [r["text"] or "" for r in module._blocks(docs, 4).where("not held_out").collect()]
     keys, count = np.unique(module.token_keys([t.encode() for t in texts])[0], return_counts=True)
     context, bucket = (keys & module._CONTEXT_BITS).astype(np.int64), module.bucket_of(keys, 4)
