@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,10 @@ from pyspark.sql import types as T
 from sievemill.functions import fixed
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), value being computed once however often use names it, lambdas included."""
+    return F.transform(F.array(value), use)[0]
+
 
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGT", "TGCA"))
@@ -27,7 +32,8 @@ def match_positions(seq: Column, part: Column) -> Column:
     """array<int>: 0-based starts of all occurrences, overlapping ones too."""
     last = F.length(seq) - F.length(part)
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.filter(starts, lambda i: F.substring(seq, i + 1, F.length(part)) == part)
+    # Characters are split once: a substring by position would walk there from the start each time.
+    return bound(F.struct(F.split(seq, "").alias("s"), F.split(part, "").alias("p")), lambda x: F.filter(starts, lambda i: F.slice(x["s"], i + 1, F.length(part)) == F.slice(x["p"], 1, F.length(part))))
 
 
 def codon_table() -> Column:
@@ -79,16 +85,15 @@ def gc_percent(seq: Column) -> Column:
 
 def hamming(a: Column, b: Column) -> Column:
     """Positions that differ; null where lengths differ."""
-    positions = F.when(F.length(a) > 0, F.sequence(F.lit(1), F.length(a))).otherwise(F.array().cast("array<int>"))
-    return F.when(F.length(a) == F.length(b), F.size(F.filter(positions, lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))))
+    differ = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y)
+    return F.when(F.length(a) == F.length(b), F.size(F.filter(differ, lambda x: x)))
 
 
 def first_difference(a: Column, b: Column) -> Column:
     """0-based; the shorter length where one is a prefix; null where both are equal."""
-    shared = F.least(F.length(a), F.length(b))
-    positions = F.when(shared > 0, F.sequence(F.lit(1), shared)).otherwise(F.array().cast("array<int>"))
-    at = F.try_element_at(F.filter(positions, lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))), F.lit(1)) - 1
-    return F.when(a != b, F.coalesce(at, shared))
+    # The shorter side is filled with nulls, which differ from any character.
+    differ = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: ~x.eqNullSafe(y))
+    return F.when(a != b, (F.array_position(differ, True) - 1).cast("int"))
 
 
 def excerpt(seq: Column, at: Column, before: int = 12, after: int = 28) -> Column:
@@ -98,23 +103,27 @@ def excerpt(seq: Column, at: Column, before: int = 12, after: int = 28) -> Colum
 
 def classify_change(a: Column, b: Column, longest: int = 256, overlap: int = 64) -> Column:
     """struct(kind, size, overlap): identical, single_substitution, an insertion or deletion of the least size after which the rest agrees, or other_difference."""
-    p = first_difference(a, b)
-    tail = lambda s, skip: F.substring(s, p + 1 + skip, F.greatest(F.lit(0), F.length(s) - p - skip))
+    rest = lambda s: F.substring(s, first_difference(a, b) + 1, F.length(s))
+    skip = lambda s, k: F.substring(s, k + 1, F.length(s))
+    made = lambda kind, size=None, n=None: F.struct(F.lit(kind).alias("kind"), (F.lit(None).cast("int") if size is None else size).alias("size"), (F.lit(None).cast("int") if n is None else n).alias("overlap"))
 
     def agrees(x: Column, y: Column) -> Column:
         n = F.least(F.length(x), F.length(y))
         return F.when((n >= overlap) & (F.substring(x, F.lit(1), n) == F.substring(y, F.lit(1), n)), n)
 
-    tries = F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda k: F.struct(k.alias("size"), agrees(tail(a, F.lit(0)), tail(b, k)).alias("ins"), agrees(tail(a, k), tail(b, F.lit(0))).alias("del")))
-    hit = F.try_element_at(F.filter(tries, lambda t: t["ins"].isNotNull() | t["del"].isNotNull()), F.lit(1))
-    made = lambda kind, size=None, n=None: F.struct(F.lit(kind).alias("kind"), (F.lit(None).cast("int") if size is None else size).alias("size"), (F.lit(None).cast("int") if n is None else n).alias("overlap"))
-    return (
-        F.when(a == b, made("identical"))
-        .when(hamming(a, b) == 1, made("single_substitution"))
-        .when(hit["ins"].isNotNull(), made("consistent_with_insertion_and_boundary_change", hit["size"], hit["ins"]))
-        .when(hit["del"].isNotNull(), made("consistent_with_deletion_and_boundary_change", hit["size"], hit["del"]))
-        .when(a.isNotNull() & b.isNotNull(), made("other_difference"))
-    )
+    def least_shift(x: Column) -> Column:
+        shifts = F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda k: F.struct(k.alias("size"), agrees(x["a"], skip(x["b"], k)).alias("ins"), agrees(skip(x["a"], k), x["b"]).alias("del")))
+        return F.try_element_at(F.filter(shifts, lambda t: t["ins"].isNotNull() | t["del"].isNotNull()), F.lit(1))
+
+    def shifted(hit: Column) -> Column:
+        return (
+            F.when(hit["ins"].isNotNull(), made("consistent_with_insertion_and_boundary_change", hit["size"], hit["ins"]))
+            .when(hit["del"].isNotNull(), made("consistent_with_deletion_and_boundary_change", hit["size"], hit["del"]))
+            .when(a.isNotNull() & b.isNotNull(), made("other_difference"))
+        )
+
+    hit = bound(F.struct(rest(a).alias("a"), rest(b).alias("b")), least_shift)
+    return F.when(a == b, made("identical")).when(hamming(a, b) == 1, made("single_substitution")).otherwise(bound(hit, shifted))
 
 
 def alphabet_flags(seq: Column) -> Column:

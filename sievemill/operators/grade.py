@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemill.functions import fixed
@@ -86,7 +89,35 @@ def outcome(reward: Column, invalid: Column, infrastructure: Column) -> Column:
     return F.struct(status.alias("status"), F.when(status == "graded", reward).when(status == "invalid_submission", 0.0).alias("reward"))
 
 
+def judge_reply(body: Column) -> Column:
+    """Text of the first choice of a response body; null where there is none. ordinal_verdict and binary_verdict read it."""
+    whole = F.try_parse_json(body)
+    return F.try_variant_get(whole, "$.choices[0].message.content", "string")
+
+
+def judged(rows: DataFrame, request: str, send: Callable[[str], str], tries: int = 3) -> DataFrame:
+    """rows with body and error of their requests. send posts a request and returns the response's body; offline it is
+    any function of the request. Equal requests are sent once; an exception is tried again, then told in error."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for text in frame[request]:
+                body = error = None
+                for _ in range(tries):
+                    try:
+                        body, error = send(text), None
+                        break
+                    except Exception as e:  # noqa: BLE001, whatever the sender raises
+                        error = f"{type(e).__name__}: {e}"
+                out.append((text, body, error))
+            yield pd.DataFrame(out, columns=[request, "body", "error"])
+
+    asked = rows.select(request).where(F.col(request).isNotNull()).distinct()
+    return rows.join(asked.mapInPandas(run, f"`{request}` string, body string, error string"), request, "left")
+
+
 def judge_request(model: str, instructions: str, untrusted: dict[str, Column]) -> Column:
-    """Request body with instructions apart from untrusted data. Who sends it is a boundary that isn't part of the engine."""
+    """Request body with instructions apart from untrusted data; judged sends it."""
     data = F.to_json(F.struct(*[c.alias(n) for n, c in untrusted.items()]))
     return F.to_json(F.struct(F.lit(model).alias("model"), F.array(F.struct(F.lit("system").alias("role"), F.lit(instructions).alias("content")), F.struct(F.lit("user").alias("role"), data.alias("content"))).alias("messages")))

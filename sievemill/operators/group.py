@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 
 def exclude_duplicates(df: DataFrame, key: str, order: str, signature: str | Column, missing: Column) -> DataFrame:
     """Adds reason: 'missing' rows first leave the grouping; a key with several signatures makes all of its rows
-    'conflict'; else all but the first in order are 'duplicate'; null means kept."""
+    'conflict'; else all but the first in order are 'duplicate'; null means kept. order tells the rows of a key apart
+    and isn't null.
+
+    Keys that recur are counted by partial sums, and rows look theirs up, so a frequent key is no task's alone."""
     signature = F.col(signature) if isinstance(signature, str) else signature
     split = df.withColumn("_missing", F.coalesce(missing, F.lit(False)))
-    # Missing rows keep a key of their own, so that they never share a window with the rest.
-    by_key = Window.partitionBy("_missing", F.when(~F.col("_missing"), F.col(key)), F.when(F.col("_missing"), F.col(order)))
-    first = F.row_number().over(by_key.orderBy(order))
-    mixed = F.min(signature).over(by_key) != F.max(signature).over(by_key)
-    reason = F.when(F.col("_missing"), "missing").when(mixed, "conflict").when(first > 1, "duplicate")
-    return split.withColumn("reason", reason).drop("_missing")
+    grouped = split.where("not _missing").groupBy(F.col(key).alias("_key"))
+    recurring = grouped.agg(F.count("*").alias("_n"), F.min(order).alias("_first"), (F.min(signature) != F.max(signature)).alias("_mixed")).where("_n > 1")
+    found = split.join(recurring, ~F.col("_missing") & F.col(key).eqNullSafe(F.col("_key")), "left")
+    reason = F.when(F.col("_missing"), "missing").when(F.col("_mixed"), "conflict").when(F.col(order) > F.col("_first"), "duplicate")
+    return found.withColumn("reason", reason).drop("_missing", "_key", "_n", "_first", "_mixed")
 
 
 def duplicate_report(df: DataFrame, key: str, order: str, signature: str, examples: int = 5) -> DataFrame:

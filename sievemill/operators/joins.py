@@ -67,17 +67,24 @@ def containment_join(long: DataFrame, short: DataFrame, long_text: str, short_te
 
     The long text is cut into blocks of k characters, in one pass. Every occurrence of a string of 2k - 1 characters or
     more holds a whole block, which is one of the string's first k k-grams. Keys and blocks meet; texts join the pairs
-    that share one and are checked. Shorter strings hold no whole block for sure and are checked against every text.
+    that share one and are checked. Shorter strings do the same with blocks of half the size, and so on down to single
+    characters; texts are cut into the sizes that the strings have, which a subquery of one row tells.
     """
-    t, s, reach = F.col(long_text), F.col(short_text), 2 * k - 1
-    grams = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.substring(s, i, F.lit(k)))
-    right = short.where(F.length(s) >= reach).select(*short_keys, F.explode(F.array_distinct(grams)).alias("_gram"))
-    blocks = F.array_distinct(F.regexp_extract_all(t, F.lit(f"(?s).{{{k}}}"), 0))
-    left = long.where(F.length(t) >= reach).select(*long_keys, F.explode(blocks).alias("_gram"))
+    t, s = F.col(long_text), F.col(short_text)
+    sizes = [k >> i for i in range(k.bit_length())]
+    size, grams, blocks = F.lit(None).cast("int"), F.array().cast("array<string>"), []
+    for j in reversed(sizes):
+        fits = F.length(s) >= 2 * j - 1
+        size = F.when(fits, j).otherwise(size)
+        grams = F.when(fits, F.array(*[F.substring(s, i, j) for i in range(1, j + 1)])).otherwise(grams)
+    used = short.where(F.length(s) > 0).agg(F.collect_set(size).alias("_sizes")).scalar()
+    for j in sizes:
+        cuts = F.regexp_extract_all(t, F.lit(f"(?s).{{{j}}}"), 0)
+        blocks.append(F.when(F.array_contains(F.col("_sizes"), j), cuts).otherwise(F.array().cast("array<string>")))
+    right = short.where(F.length(s) > 0).select(*short_keys, F.explode(F.array_distinct(grams)).alias("_gram"))
+    left = long.withColumn("_sizes", used).select(*long_keys, F.explode(F.array_distinct(F.concat(*blocks))).alias("_gram"))
     pairs = left.join(right, "_gram").select(*long_keys, *short_keys).distinct()
-    blocked = pairs.join(long, long_keys).join(short, short_keys).where(t.contains(s)).select(*long.columns, *short.columns)
-    tiny = short.where((F.length(s) < reach) & (F.length(s) > 0))
-    return blocked.unionByName(long.join(tiny, t.contains(s)))
+    return pairs.join(long, long_keys).join(short, short_keys).where(t.contains(s)).select(*long.columns, *short.columns)
 
 
 def passages_around(documents: DataFrame, labels: DataFrame, group: str, text: str, label: str, reach: int = 2200) -> DataFrame:

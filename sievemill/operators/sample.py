@@ -71,10 +71,17 @@ def round_robin(df: DataFrame, group: str, keys: list[str], n: int) -> DataFrame
 
 def disjoint_split(df: DataFrame, group: str, fraction: float) -> DataFrame:
     """df with split: the first max(1, half-even round of groups * fraction) groups by name are 'validation', the rest
-    'test'. Only the distinct groups are ranked, and rows join their group's split."""
-    groups = df.select(group).distinct()
-    ranked = groups.withColumn("_n", F.row_number().over(Window.orderBy(group))).withColumn("_k", F.count("*").over(Window.partitionBy(F.lit(1))))
-    first = F.greatest(F.lit(1), F.bround(F.col("_k") * fraction).cast("int"))
+    'test'. Only the distinct groups are ranked, by ranges of names and the ranges' sizes, and rows join their group's
+    split."""
+    from sievemill.sources.tables import cut
+
+    groups = cut(df.select(group).distinct().repartitionByRange(F.col(group)).withColumn("_range", F.spark_partition_id()))
+    # A row a range, as many as there are shuffle partitions.
+    ranges = groups.groupBy("_range").agg(F.count("*").alias("_size"))
+    everything = Window.partitionBy(F.lit(1))
+    ranges = ranges.select("_range", (F.sum("_size").over(everything.orderBy("_range")) - F.col("_size")).alias("_before"), F.sum("_size").over(everything).alias("_k"))
+    ranked = groups.join(ranges, "_range").withColumn("_n", F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(group)))
+    first = F.greatest(F.lit(1), F.bround(F.col("_k") * fraction).cast("long"))
     return df.join(ranked.select(group, F.when(F.col("_n") <= first, "validation").otherwise("test").alias("split")), group)
 
 
