@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievemill.functions.fixed import ELEMENTS
 
@@ -84,7 +85,7 @@ def counts(smiles: str | None) -> tuple[int, ...] | None:
     return len(degrees), len(hetero), sum(e in ("F", "Cl", "Br", "I") for e in elements), len(degrees) + len(hetero) - hetero.count("*"), degrees.count(1), sum(d >= 3 for d in degrees), len(elements)
 
 
-@F.pandas_udf(", ".join(f"{c} int" for c in COUNTS))
+@F.pandas_udf(T.StructType([T.StructField(c, T.IntegerType()) for c in COUNTS]))
 def atom_counts(smiles: pd.Series) -> pd.DataFrame:
     """struct of COUNTS; all null for null, empty or unreadable SMILES."""
     rows = [counts(s) or (None,) * len(COUNTS) for s in smiles]
