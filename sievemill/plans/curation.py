@@ -107,11 +107,14 @@ def containment_groups(spark, sf_dir):
     return curate.containment_groups(items, "item_id", "s")
 
 
-@query("select item_id, true as valid from benchmark")
+@query("""with s as (select item_id, """ + dna_sql() + """ s from benchmark),
+ g as (select item_id, (200 * length(replace(replace(s, 'A', ''), 'T', '')) + length(s)) // (2 * length(s)) gc from s)
+select item_id, gc = 45 + item_id % 11 and gc <> 45 + (item_id // 2) % 11 as valid from g""")
 def computed_gold(spark, sf_dir):
     s = dna(F.col("text"))
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("GC percent of "), s).alias("q"), sequences.gc_percent(s).cast("string").alias("ideal"))
-    checked = curate.computed_gold(F.lit("Prop-seq-gcpercent"), F.col("q"), F.col("ideal"), F.array(F.lit("none")))
+    stated, other = (45 + F.col("item_id") % 11).cast("string"), (45 + F.floor(F.col("item_id") / 2) % 11).cast("string")
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("GC percent of "), s).alias("q"), stated.alias("ideal"), other.alias("other"))
+    checked = curate.computed_gold(F.lit("Prop-seq-gcpercent"), F.col("q"), F.col("ideal"), F.array("other"))
     return items.select("item_id", checked["valid"].alias("valid"))
 
 
@@ -313,15 +316,21 @@ def zero_checks(spark, sf_dir):
     return validate.zero_checks(table(spark, sf_dir, "documents"), checks)
 
 
-@query("select 'rows' as name, count(*) as found, cast(1000 as bigint) as expected, count(*) = 1000 as holds from documents union all select 'english', count(*) filter (lang = 'en'), 620, count(*) filter (lang = 'en') = 620 from documents")
+@query("""select 'rows' as name, count(*) as found, cast(25 as bigint) as expected, count(*) = 25 as holds from nation
+union all select 'first region', count(*) filter (n_regionkey = 0), 5, count(*) filter (n_regionkey = 0) = 5 from nation
+union all select 'customers', count(*), 3, count(*) = 3 from customer""")
 def cardinalities(spark, sf_dir):
-    return validate.count_status(table(spark, sf_dir, "documents"), {"rows": (F.lit(True), 1000), "english": (F.col("lang") == "en", 620)})
+    nations = validate.count_status(table(spark, sf_dir, "nation"), {"rows": (F.lit(True), 25), "first region": (F.col("n_regionkey") == 0, 5)})
+    return nations.union(validate.count_status(table(spark, sf_dir, "customer"), {"customers": (F.lit(True), 3)}))
 
 
-@query("select text, count(*) n from benchmark group by text having count(*) > 1 union all select cast(doc_id as varchar), count(*) from labels group by doc_id having count(*) > 1")
+@query("""select sha256(text) as key, count(*) n from documents group by 1 having count(*) > 1
+union all select cast(user_id as varchar), count(*) from events group by user_id having count(*) > 1
+union all select cast(doc_id as varchar), count(*) from labels group by doc_id having count(*) > 1""")
 def repeated_keys(spark, sf_dir):
-    a = validate.duplicates(table(spark, sf_dir, "benchmark"), "text")
-    return a.union(validate.duplicates(table(spark, sf_dir, "labels"), "doc_id").select(F.col("doc_id").cast("string"), "n"))
+    texts = validate.duplicates(table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("key")), "key")
+    users = validate.duplicates(table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key")), "key")
+    return texts.union(users).union(validate.duplicates(table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("key")), "key"))
 
 
 @query("select conv_id, turn, text from conversations where role = 'user'")
