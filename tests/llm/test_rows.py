@@ -331,7 +331,7 @@ def test_probabilities_sum_to_one():
     count = rng.poisson(0.7, len(context))
     count[word == 0] = 300
     known = np.bincount(word, count, words) > 0
-    tables, parent = language_model.sample_tables(count, context, word, words, 1, 0)
+    tables, parent = language_model.sample_tables(count, context, word, words)
     assert ((tables <= count) & ((tables > 0) == (count > 0))).all()
     word_count = np.bincount(word, count, words).astype(np.int64)
     totals = language_model.Totals(np.array(language_model.Totals.of(count, context, word_count, tables, parent), float))
@@ -369,3 +369,56 @@ def test_sampler_gets_the_totals_of_all_tasks(spark, docs, monkeypatch):
     assert np.array_equal(want[3 + module.CONTEXTS :], np.bincount(context, minlength=module.CONTEXTS))
     assert max(abs(4 * s.totals()[0] - want[0]) for s in samplers) > 0.1 * want[0]
     assert [t[0] for t in seen[0]] == [want[0]] * len(seen[0])
+
+
+def test_seatings_agree_with_a_brute_force_sampler(monkeypatch):
+    """Mean numbers of tables, against a sampler that takes up and seats one customer after another."""
+    import numpy as np
+
+    module = language_model
+    count = np.array([[9, 3, 0, 1], [4, 0, 6, 2], [1, 2, 2, 0]])
+    contexts, words = count.shape
+    (d, strength), (d0, strength0) = module.CONTEXT, module.PARENT
+    rng = random.Random(5)
+    # Tables of each (context, word) as lists of customers; those of the parent as lists of tables.
+    below = {(u, w): [1] * int(count[u, w]) for u in range(contexts) for w in range(words) if count[u, w]}
+    above = {w: [1] * sum(len(t) for (u, x), t in below.items() if x == w) for w in range(words)}
+
+    def leave(tables):
+        at = rng.choices(range(len(tables)), tables)[0]
+        tables[at] -= 1
+        if not tables[at]:
+            del tables[at]
+            return True
+
+    def sit(tables, discount, fresh):
+        at = rng.choices(range(len(tables) + 1), [n - discount for n in tables] + [fresh])[0]
+        if at == len(tables):
+            tables.append(1)
+            return True
+        tables[at] += 1
+
+    def parent_weight():
+        return (strength0 + d0 * sum(map(len, above.values()))) / (words + 1)
+
+    tables_seen, parents_seen = np.zeros(count.shape), np.zeros(words)
+    rounds = 3000
+    for k in range(-100, rounds):
+        for (u, w), tables in below.items():
+            for _ in range(int(count[u, w])):
+                if leave(tables):
+                    leave(above[w])
+                here = sum(len(t) for (x, _), t in below.items() if x == u)
+                mean = (sum(above[w]) - d0 * len(above[w]) + parent_weight()) / (strength0 + sum(map(sum, above.values())))
+                if sit(tables, d, (strength + d * here) * mean):
+                    sit(above[w], d0, parent_weight())
+        if k >= 0:
+            for (u, w), tables in below.items():
+                tables_seen[u, w] += len(tables) / rounds
+            parents_seen += [len(above[w]) / rounds for w in range(words)]
+    monkeypatch.setattr(module, "BURN_IN", 100)
+    monkeypatch.setattr(module, "SAMPLES", 3000)
+    context, word = (x.ravel() for x in np.indices(count.shape))
+    tables, parent = module.sample_tables(count.ravel(), context, word, words)
+    assert tables.mean(axis=0).reshape(count.shape) == pytest.approx(tables_seen, rel=0.12, abs=0.12)
+    assert parent.mean(axis=0) == pytest.approx(parents_seen, rel=0.12, abs=0.12)
