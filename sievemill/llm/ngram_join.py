@@ -401,7 +401,8 @@ MIXED = np.dtype([("node", "<i8"), ("component", "<i8")])
 
 
 def mixed_signatures(texts: DataFrame, percent: int, n: int, naming: Naming) -> DataFrame:
-    """Of texts (node, component, text): (node, signatures) with those signatures that nodes of several components have."""
+    """Of texts (node, component, text): (node, signatures) with those signatures that nodes of several components have;
+    signatures[k] holds those whose nodes have all been compared after round k."""
     wide = partitions(texts.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,16 +426,18 @@ def mixed_signatures(texts: DataFrame, percent: int, n: int, naming: Naming) ->
         signature, of = signature[order], np.repeat(of, times)[order]
         node, component = of["node"], of["component"]
         edges = np.concatenate([[0], np.flatnonzero(np.diff(signature)) + 1])
-        mixed = np.minimum.reduceat(component, edges) != np.maximum.reduceat(component, edges)
-        own = np.flatnonzero(np.repeat(mixed, np.diff(np.append(edges, len(signature)))))
-        own = own[np.argsort(node[own], kind="stable")]
+        mixed, sizes = np.minimum.reduceat(component, edges) != np.maximum.reduceat(component, edges), np.diff(np.append(edges, len(signature)))
+        last = np.repeat(np.searchsorted([first + 2 for first, _ in ROUNDS[1:]], sizes, "right"), sizes)
+        own = np.flatnonzero(np.repeat(mixed, sizes))
+        own = own[np.lexsort((last[own], node[own]))]
         if len(own):
-            at = np.concatenate([[0], np.flatnonzero(np.diff(node[own])) + 1, [len(own)]])
+            at = np.concatenate([[0], np.flatnonzero(np.diff(node[own]) | np.diff(last[own])) + 1, [len(own)]])
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(signature[own].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(node[own][at[:-1]]), lists], ["node", "signatures"])
+            yield pa.RecordBatch.from_arrays([pa.array(node[own][at[:-1]]), pa.array(last[own][at[:-1]]), lists], ["node", "last", "signatures"])
 
-    met = texts.mapInArrow(sign, PACKED).repartitionById(wide, F.col("bucket")).mapInArrow(meet, "node long, signatures array<long>")
-    return met.groupBy("node").agg(F.flatten(F.collect_list("signatures")).alias("signatures"))
+    met = texts.mapInArrow(sign, PACKED).repartitionById(wide, F.col("bucket")).mapInArrow(meet, "node long, last long, signatures array<long>")
+    of = [F.flatten(F.collect_list(F.when(F.col("last") == k, F.col("signatures")))) for k in range(len(ROUNDS))]
+    return met.groupBy("node").agg(F.array(*of).alias("signatures"))
 
 
 def unresolved_pairs(sets: DataFrame, percent: int, first: int, end: int, wide: int) -> DataFrame:
@@ -535,10 +538,14 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4, identity_bits: int = 64
     # Joined with the fingerprints once, so that a round needs the labels only.
     mixed = cut(mixed_signatures(texts_of(docs, apart(pairs, nodes, labels), "node", "component"), percent, n, naming).join(prints, "node"))
     release(pairs, prints)
-    total = mixed.agg(F.sum(F.size("signatures"))).first()[0] or 0
-    wide = min(partitions(docs.sparkSession), 1 + total // SIGNATURES_A_TASK)
-    for first, end in ROUNDS if total else ():
-        more = cut(unresolved_pairs(placed(mixed, labels), percent, first, end, wide))
+    for k, (first, end) in enumerate(ROUNDS):
+        # Signatures whose nodes an earlier round has all compared don't travel again.
+        open_ = mixed.withColumn("signatures", F.flatten(F.slice("signatures", k + 1, len(ROUNDS)))).where(F.size("signatures") > 0)
+        total = open_.agg(F.sum(F.size("signatures"))).first()[0] or 0
+        if not total:
+            break
+        wide = min(partitions(docs.sparkSession), 1 + total // SIGNATURES_A_TASK)
+        more = cut(unresolved_pairs(placed(open_, labels), percent, first, end, wide))
         if more.isEmpty():
             continue
         found = cut(linked(more, nodes, docs, percent, n, naming))
