@@ -30,8 +30,9 @@ from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, mix,
 CELLS, SPARED = 3, 1
 #: Nodes of a signature, by rank, that are compared with all others in other components, round by round; the last round leaves none.
 ROUNDS = ((0, 1), (1, 8), (8, 1 << 40))
-#: Signatures that meet in one task of these rounds, on average.
-SIGNATURES_A_TASK = 1 << 17
+#: Signatures that meet in one task of these rounds, on average. A fingerprint goes to each task that has any of its
+#: node's signatures, so more tasks mean more copies, while a task's memory follows the fingerprints.
+SIGNATURES_A_TASK = 1 << 18
 #: Nodes that are compared with one pivot in one task, on average.
 STAR = 256
 #: Signatures that a task holds before it sends them on.
