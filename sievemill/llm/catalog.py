@@ -10,10 +10,11 @@ from sievemill.llm.nearest import op3_nearest
 from sievemill.llm.ngram_join import op6_ngram_join
 from sievemill.llm.packing import op9_packing
 from sievemill.llm.quality import OP7_SQL, op7_quality
+from sievemill.llm.runs import op12_runs
 from sievemill.llm.secrets import OP8_SQL, op8_secrets
 
 from sievemill.llm.tokens import op2_token_counts
 from sievemill.llm.substrings import op4_substrings
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_nearest, op4_substrings, op5_line_dedup, op6_ngram_join, op7_quality, op8_secrets, op9_packing, op10_language_model, op11_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_nearest, op4_substrings, op5_line_dedup, op6_ngram_join, op7_quality, op8_secrets, op9_packing, op10_language_model, op11_byte_bpe, op12_runs)}
 ORACLE_SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op5_line_dedup": OP5_SQL, "op7_quality": OP7_SQL, "op8_secrets": OP8_SQL}
