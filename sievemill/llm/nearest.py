@@ -254,6 +254,24 @@ def _measured(found: DataFrame, kind: str, k: int, groups: dict[int, list[Group]
     return out
 
 
+def _first(q: np.ndarray, x: np.ndarray, ids: np.ndarray, most: int) -> Iterator[tuple[int, list[int], list[float]]]:
+    """(place in q, ids and exact scores of the first most rows of x by score, then id) of each query.
+
+    A matrix product finds who may be among them: its last bits depend on the shape, so all within a bound of its error of
+    the last place stay, ties among them. These are scored one by one."""
+    product = q @ x.T
+    most = min(most, len(x))
+    last = np.partition(product, len(x) - most, axis=1)[:, len(x) - most]
+    error = 4 * x.shape[1] * np.finfo(float).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+    row, col = np.nonzero(product >= (last - error)[:, None])
+    exact = np.concatenate([(q[row[a : a + 65536]] * x[col[a : a + 65536]]).sum(axis=1) for a in range(0, len(row), 65536)])
+    order = np.lexsort((ids[col], -exact, row))
+    col, exact, first = col[order], exact[order], np.searchsorted(row, np.arange(len(q)))
+    for i, a in enumerate(first.tolist()):
+        b = min(a + most, int(first[i + 1]) if i + 1 < len(first) else len(row))
+        yield i, ids[col[a:b]].tolist(), exact[a:b].tolist()
+
+
 def _look(found: DataFrame, kind: str, k: int, groups: dict[int, list[Group]]) -> DataFrame:
     """(query_class, class_id, score) of each queried class' best classes, k + 1 a task, in the buckets of groups."""
 
@@ -311,13 +329,10 @@ def _look(found: DataFrame, kind: str, k: int, groups: dict[int, list[Group]]) -
             if not len(asks) or not len(has):
                 continue
             q, x = (np.frombuffer(b"".join(vec[i] for i in r), kind).reshape(len(r), -1).astype(np.float64) for r in (asks, has))
-            top = min(k + 1, len(has))
             for lo in range(0, len(asks), 256):
-                near = np.argpartition(-(q[lo : lo + 256] @ x.T), top - 1, axis=1)[:, :top]
-                exact = (q[lo : lo + 256, None, :] * x[near]).sum(axis=2)
-                for i, (js, scores) in enumerate(zip(ids[has][near].tolist(), exact.tolist())):
-                    own = best[int(ids[asks[lo + i]])]
-                    own.update(zip(js, scores))
+                for at, near, scores in _first(q[lo : lo + 256], x, ids[has], k + 1):
+                    own = best[int(ids[asks[lo + at]])]
+                    own.update(zip(near, scores))
                     if len(own) > 8 * (k + 1):
                         kept = sorted(own.items(), key=lambda p: (-p[1], p[0]))[: k + 1]
                         own.clear()
