@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -264,9 +265,17 @@ def decode(df: DataFrame, identity: str = "doc_id", ids: str = "ids", vocabulary
         codec = Codec(read_ranks(vocabulary))
         for batch in batches:
             column = batch.column(1)
-            for a, b in chunks([4 * len(x) if x.is_valid else 0 for x in column]):
-                part = column.slice(a, b - a)
-                made = pa.array([codec.decode(x.as_py() or []) for x in part], pa.binary())
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_pylist()
+            for a, b in chunks([4 * n for n in sizes]):
+                part, at, made = column.slice(a, b - a), 0, []
+                held = part.flatten()
+                if held.null_count:
+                    raise ValueError("no token has the id null")
+                held = held.to_numpy()
+                for n in sizes[a:b]:
+                    made.append(codec.decode(held[at : at + n].tolist()))
+                    at += n
+                made = pa.array(made, pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), part, made], [identity, "ids", "decoded"])
 
     return df.select(identity, F.col(ids).cast("array<int>").alias("ids")).mapInArrow(run, f"`{identity}` {kind_of}, ids array<int>, decoded binary")
