@@ -3,6 +3,8 @@
 #: URL, suffix, slash and version around a preprint's id.
 PAPER_URL = r"^https?://arxiv\.org/(?:abs|pdf)/"
 PAPER_VERSION = r"v\d+\z"
+#: A subject domain of a preprint server.
+DOMAIN = r"[A-Za-z0-9.-]+"
 
 #: What leaves a TeX fragment, in this order: comments, citations and footnotes, font commands, other commands, braces.
 TEX_CLEANING = (

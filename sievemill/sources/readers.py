@@ -138,10 +138,18 @@ ATOM = "id string, title string, summary string, published string, category arra
 
 def atom_papers(spark: SparkSession, path: str) -> DataFrame:
     """(paper_id, title, abstract, categories, published, pdf_url) of an Atom feed's entries."""
-    entries = spark.read.format("xml").option("rowTag", "entry").schema(ATOM).load(path)
+    return papers_of(spark.read.format("xml").option("rowTag", "entry").schema(ATOM).load(path))
+
+
+def papers_of(entries: DataFrame, *others: str) -> DataFrame:
+    """What feed entries tell of their papers, and other columns."""
     paper = normalize_paper_id(F.substring_index("id", "/", -1))
     pdf = F.try_element_at(F.filter("link", lambda x: x["_title"] == "pdf"), F.lit(1))["_href"]
-    return entries.select(paper.alias("paper_id"), squeeze(F.col("title")).alias("title"), squeeze(F.col("summary")).alias("abstract"), F.transform("category", lambda c: c["_term"]).alias("categories"), F.coalesce("published", F.lit("")).alias("published"), F.coalesce(pdf, F.concat(F.lit("https://arxiv.org/pdf/"), paper)).alias("pdf_url"))
+    return entries.select(
+        *others, paper.alias("paper_id"), squeeze(F.col("title")).alias("title"), squeeze(F.col("summary")).alias("abstract"),
+        F.transform("category", lambda c: c["_term"]).alias("categories"), F.coalesce("published", F.lit("")).alias("published"),
+        F.coalesce(pdf, F.concat(F.lit("https://arxiv.org/pdf/"), paper)).alias("pdf_url"),
+    )
 
 
 class PagedSource(DataSource):
