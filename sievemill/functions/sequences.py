@@ -42,15 +42,31 @@ def codon_table() -> Column:
 
 
 def proteins(seq: Column) -> Column:
-    """array<string>: translations from each ATG to its first stop, stop included; starts without a stop give none."""
+    """array<string>: translations from each ATG to its first stop, stop left out, by start; starts without a stop give none.
+    Codons that the code doesn't know are left out.
+
+    Each of the three frames is cut into codons once and translated once. Stops part the frame into segments, the last of
+    which has none; within a segment, a protein begins at each M, as ATG alone gives M. So proteins follow the frame's ATGs."""
     table = codon_table()
+    unknown = "?"
+
+    def of_segment(segment: Column) -> Column:
+        parts = F.split(segment, "M", -1)
+        last = F.size(parts)
+        starts = F.when(last > 1, F.sequence(F.lit(2), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat(F.lit("M"), F.array_join(F.slice(parts, i, last), "M")))
+
+    def of_frame(shift: int) -> Column:
+        def translated(codons: Column) -> Column:
+            acids = F.array_join(F.transform(codons, lambda c: F.coalesce(table[c], F.lit(unknown))), "")
+            segments = F.split(acids, r"\*", -1)
+            starts = F.filter(F.transform(codons, lambda c, i: F.when(c == "ATG", 3 * i + shift)), lambda i: i.isNotNull())
+            made = bound(segments, lambda x: F.flatten(F.transform(F.slice(x, 1, F.size(x) - 1), of_segment)))
+            return bound(made, lambda m: F.zip_with(F.slice(starts, 1, F.size(m)), m, lambda at, p: F.struct(at.alias("at"), p.alias("p"))))
 
-    def translate(start: Column) -> Column:
-        codons = F.transform(F.sequence(F.lit(0), ((F.length(seq) - start - 3) / 3).cast("int")), lambda k: F.substring(seq, start + 1 + 3 * k, F.lit(3)))
-        return F.array_join(F.transform(codons, lambda c: table[c]), "")
+        return bound(F.regexp_extract_all(F.substring(seq, shift + 1, 1 << 30), F.lit("(?s)..."), F.lit(0)), translated)
 
-    whole = F.transform(match_positions(seq, F.lit("ATG")), translate)
-    return F.filter(F.transform(whole, lambda p: F.when(F.instr(p, "*") > 0, F.substring_index(p, "*", 1))), lambda p: p.isNotNull())
+    return F.transform(F.array_sort(F.concat(*[of_frame(i) for i in range(3)])), lambda x: F.replace(x["p"], F.lit(unknown), F.lit("")))
 
 
 def complete_proteins(seq: Column) -> Column:

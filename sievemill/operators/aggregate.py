@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,9 +67,38 @@ def dataset_digest(df: DataFrame, order: str, *columns: str, block: int = 100_00
     return rows.groupBy("_b").agg(line("_o")).agg(line("_b").alias("digest"))
 
 
-def id_list_digest(df: DataFrame, identity: str, *group: str) -> DataFrame:
-    """SHA-256 of the sorted ids, a line each, by group. For lists of ids that one task holds, as samples and groups are."""
-    return df.groupBy(*group).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.col(identity).cast("string"))), "\n"), 256).alias("digest"))
+def id_list_digest(df: DataFrame, identity: str, *group: str, leaf: int = 4096) -> DataFrame:
+    """(group, digest) of each group's ids, whatever their order and partitions.
+
+    Up to leaf ids: SHA-256 of the sorted ids, a line each. Groups of more are dealt to parts by the first d hexadecimal
+    digits of each id's SHA-256, the least d with leaf * 16 ** d ids or more; parts are digested like small groups, and
+    the digests of up to 4096 neighbouring parts, in order of their digits, likewise, until one is left. So no task
+    holds a whole group. d follows from the group's size alone, hence the digest from its ids. Null ids don't count,
+    repeated ones do; a group of nulls only has the digest of nothing; an empty table gives an empty table."""
+    text = F.col(identity).cast("string")
+    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    names = [f"_g{i}" for i in range(len(group))]
+    ids = df.select(*keys, text.alias("_id"))
+    sizes = ids.groupBy(*names).agg(F.count("_id").alias("_n"))
+    depths = sizes.select(*names, F.greatest(F.lit(0), F.ceil(F.round(F.log(F.col("_n") / leaf) / math.log(16), 9))).cast("int").alias("_d"))
+    deepest = depths.agg(F.max("_d")).first()[0] or 0
+    same = lambda a, b: [F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in names] or [F.lit(True)]
+    if deepest:
+        deep = depths.where("_d > 0")
+        placed = ids.alias("x").join(deep.alias("y"), same("x", "y"), "left").select("x.*", F.coalesce("y._d", F.lit(0)).alias("_d"))
+    else:
+        placed = ids.withColumn("_d", F.lit(0))
+    lines = lambda column: F.sha2(F.array_join(F.sort_array(F.collect_list(column)), "\n"), 256)
+    parts = placed.where("_id is not null").select(*names, "_id", F.expr("substring(sha2(_id, 256), 1, _d)").alias("_part"))
+    found = parts.groupBy(*names, "_part").agg(lines("_id").alias("_sha"))
+    for _ in range(-(-deepest // 3)):
+        # Each round takes up to three digits off; parts without digits stay as they are.
+        shorter = F.expr("substring(_part, 1, greatest(length(_part) - 3, 0))")
+        joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_part", "_sha"))), lambda x: x["_sha"]), "\n")
+        whole = F.max(F.length("_part")) == 0
+        found = found.groupBy(*names, shorter.alias("_up")).agg(F.when(whole, F.max("_sha")).otherwise(F.sha2(joined, 256)).alias("_sha")).withColumnRenamed("_up", "_part")
+    void = sizes.where("_n = 0").select(*names, F.sha2(F.lit(""), 256).alias("_sha"))
+    return found.drop("_part").unionByName(void).select(*[F.col(n).alias(g) for n, g in zip(names, group)], F.col("_sha").alias("digest"))
 
 
 def numeric_summary(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -77,6 +77,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 64) -
     raise RuntimeError(f"labels still moved after {rounds} rounds")
 
 
-def group_digest(labels: DataFrame, node: str = "node", component: str = "component") -> DataFrame:
-    """(component, group_id): SHA-256 of the sorted members, a line each, so that the name follows from the members alone."""
-    return labels.groupBy(component).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.col(node).cast("string"))), "\n"), 256).alias("group_id"))
+def group_digest(labels: DataFrame, node: str = "node", component: str = "component", leaf: int = 4096) -> DataFrame:
+    """(component, group_id): the digest of the members as id_list_digest gives it, so that the name follows from them alone."""
+    from sievemill.operators.aggregate import id_list_digest
+
+    return id_list_digest(labels, node, component, leaf=leaf).withColumnRenamed("digest", "group_id")

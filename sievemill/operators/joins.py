@@ -62,28 +62,43 @@ def prefix_join(left: DataFrame, right: DataFrame, name: str, delimiter: str, ke
     return left.withColumn(key, F.substring_index(F.col(name), delimiter, 1)).join(right, key)
 
 
-def containment_join(long: DataFrame, short: DataFrame, long_text: str, short_text: str, long_keys: list[str], short_keys: list[str], k: int = 16) -> DataFrame:
-    """Pairs where short_text is a substring of long_text.
-
-    The long text is cut into blocks of k characters, in one pass. Every occurrence of a string of 2k - 1 characters or
-    more holds a whole block, which is one of the string's first k k-grams. Keys and blocks meet; texts join the pairs
-    that share one and are checked. Shorter strings do the same with blocks of half the size, and so on down to single
-    characters; texts are cut into the sizes that the strings have, which a subquery of one row tells.
+def containment_join(
+    long: DataFrame, short: DataFrame, long_text: str, short_text: str, long_keys: list[str], short_keys: list[str], k: int = 16, frequent: int = 10_000
+) -> DataFrame:
+    """Pairs where short_text is a substring of long_text; empty and null texts are in none. Keys tell rows apart.
+
+    The long text is cut into blocks of k characters. A string of 2k - 1 characters or more that occurs in it lies at one of
+    k alignments to the blocks, and all its whole blocks there are blocks of the text. So blocks are counted over all long
+    texts, and for each alignment the string meets texts by its rarest block only; an alignment with a block that no text
+    has is none. Keys and blocks meet; texts join the pairs that share one and are checked. Shorter strings do the same with
+    blocks of half the size, and so on down to single characters; texts are cut into the sizes that the strings have, which
+    a subquery of one row tells. A block in more than frequent texts is dealt to several tasks, strings to all of these.
     """
     t, s = F.col(long_text), F.col(short_text)
     sizes = [k >> i for i in range(k.bit_length())]
-    size, grams, blocks = F.lit(None).cast("int"), F.array().cast("array<string>"), []
+    size = F.lit(None).cast("int")
     for j in reversed(sizes):
-        fits = F.length(s) >= 2 * j - 1
-        size = F.when(fits, j).otherwise(size)
-        grams = F.when(fits, F.array(*[F.substring(s, i, j) for i in range(1, j + 1)])).otherwise(grams)
+        size = F.when(F.length(s) >= 2 * j - 1, j).otherwise(size)
     used = short.where(F.length(s) > 0).agg(F.collect_set(size).alias("_sizes")).scalar()
+    blocks = []
     for j in sizes:
         cuts = F.regexp_extract_all(t, F.lit(f"(?s).{{{j}}}"), 0)
         blocks.append(F.when(F.array_contains(F.col("_sizes"), j), cuts).otherwise(F.array().cast("array<string>")))
-    right = short.where(F.length(s) > 0).select(*short_keys, F.explode(F.array_distinct(grams)).alias("_gram"))
     left = long.withColumn("_sizes", used).select(*long_keys, F.explode(F.array_distinct(F.concat(*blocks))).alias("_gram"))
-    pairs = left.join(right, "_gram").select(*long_keys, *short_keys).distinct()
+    counted = left.groupBy("_gram").agg(F.count("*").alias("_texts"))
+
+    strings = short.where(F.length(s) > 0).select(*short_keys, s.alias("_s"), size.alias("_size"))
+    at = F.posexplode(F.sequence(F.lit(1), F.length("_s") - F.col("_size") + 1)).alias("_at", "_from")
+    grams = strings.select(*short_keys, "_s", "_size", at).select(*short_keys, (F.col("_at") % F.col("_size")).alias("_shift"), F.expr("substring(_s, _from, _size)").alias("_gram"))
+    rarest = grams.join(counted, "_gram", "left").groupBy(*short_keys, "_shift").agg(
+        F.min(F.coalesce("_texts", F.lit(0))).alias("_texts"), F.min_by("_gram", F.struct("_texts", "_gram")).alias("_gram")
+    )
+    parts = F.ceil(F.col("_texts") / frequent).cast("int")
+    right = rarest.where("_texts > 0").select(*short_keys, "_gram", parts.alias("_parts")).distinct()
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    split = counted.where(F.col("_texts") > frequent).select("_gram", parts.alias("_parts"))
+    dealt = left.join(split, "_gram", "left").withColumn("_salt", F.pmod(F.hash(*long_keys), F.coalesce("_parts", F.lit(1)))).drop("_parts")
+    pairs = dealt.join(right, ["_gram", "_salt"]).select(*long_keys, *short_keys).distinct()
     return pairs.join(long, long_keys).join(short, short_keys).where(t.contains(s)).select(*long.columns, *short.columns)
 
 

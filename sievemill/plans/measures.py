@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievemill.functions import literals, sequences, text
+from sievemill.functions import fixed, literals, sequences, text
 from sievemill.operators import aggregate, grade, joins, stats, validate
 from sievemill.plans.registry import dna, dna_sql, query, table
 
@@ -56,9 +56,16 @@ def first_examples(spark, sf_dir):
     return aggregate.first_examples(table(spark, sf_dir, "events"), "event_type", "event_id").select("event_type", "event_id", F.col("example").cast("long"))
 
 
-@query("select source, sha256(string_agg(cast(doc_id as varchar), chr(10) order by cast(doc_id as varchar))) digest from documents group by source")
+#: Ids of a list that one task digests, in this query.
+_LEAF = 64
+
+
+@query(f"""with n as (select source, greatest(0, ceil(round(log(count(*) / {_LEAF}.0) / log(16.0), 9)))::int d from documents group by source),
+ p as (select source, d, cast(doc_id as varchar) i, substr(sha256(cast(doc_id as varchar)), 1, d) part from documents join n using (source)),
+ q as (select source, any_value(d) d, part, sha256(string_agg(i, chr(10) order by i)) s from p group by source, part)
+select source, case when any_value(d) = 0 then any_value(s) else sha256(string_agg(s, chr(10) order by part)) end digest from q group by source""")
 def id_list_digest(spark, sf_dir):
-    return aggregate.id_list_digest(table(spark, sf_dir, "documents"), "doc_id", "source")
+    return aggregate.id_list_digest(table(spark, sf_dir, "documents"), "doc_id", "source", leaf=_LEAF)
 
 
 @query("""with r as (select doc_id // 100000 b, doc_id, sha256('{"doc_id":' || doc_id || ',"lang":"' || lang || '"}') d from documents),
@@ -148,7 +155,18 @@ def match_positions(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.transform(found, lambda i: i.cast("string")), ",").alias("starts"))
 
 
-@query()
+_CODE = "'" + fixed.AMINO_ACIDS + "'"
+_FRAMES = """with s as (select item_id, """ + dna_sql() + """ s from benchmark), f as (select item_id, substr(s, f + 1) s from s, range(3) t(f)),
+ c as (select item_id, list_transform(regexp_extract_all(s, '...'), lambda c: substr(""" + _CODE + """,
+  (16 * (instr('TCAG', substr(c, 1, 1)) - 1) + 4 * (instr('TCAG', substr(c, 2, 1)) - 1) + instr('TCAG', substr(c, 3, 1)))::int, 1)) a from f),
+ x as (select item_id, string_split(array_to_string(a, ''), '*') g from c), y as (select item_id, unnest(g[1:len(g) - 1]) g from x),
+ z as (select item_id, unnest(list_transform(list_filter(range(1, length(g) + 1), lambda i: substr(g, i, 1) = 'M'), lambda i: substr(g, i) || '*')) p from y),
+ k as (select item_id, p, count(*) over (partition by item_id) n, rank() over (partition by item_id order by length(p) desc) r from z),
+ l as (select item_id, any_value(n)::int n, count(*) filter (r = 1) ties, any_value(p) filter (r = 1) p from k group by item_id)
+select item_id, coalesce(n, 0)::int n, case when ties = 1 then p end longest from benchmark left join l using (item_id)"""
+
+
+@query(_FRAMES)
 def reading_frames(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark").select("item_id", sequences.complete_proteins(dna(F.col("text"))).alias("p"))
     return items.select("item_id", F.size("p").alias("n"), sequences.longest_unique(F.col("p")).alias("longest"))
@@ -317,7 +335,8 @@ def paired_calibration(spark, sf_dir):
 
 @query()
 def bootstrap_interval(spark, sf_dir):
-    return stats.bootstrap_interval(table(spark, sf_dir, "labels"), "doc_id", "quality", 200)
+    """All 100,000 resamples of a published audit."""
+    return stats.bootstrap_interval(table(spark, sf_dir, "labels"), "quality")
 
 
 @query("select event_type, count(*) n from events where event_type <> 'view' group by event_type")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievemill.operators import sketches, timeline
+from sievemill.operators import curate, sketches, timeline
 from sievemill.plans.registry import query, table
 
 
@@ -61,3 +61,10 @@ def merged_sketches(spark, sf_dir):
     exact = F.countDistinct("user_id")
     held = F.abs(F.max("users") - exact) <= F.greatest(F.lit(1.0), sketches.DISTINCT_ERROR * exact)
     return rows.groupBy("month").agg(F.count("*").alias("n"), exact.alias("n_users"), held.alias("distinct_holds"), (near[0] & near[1]).alias("quantiles_hold"))
+
+
+@query()
+def similarity_groups(spark, sf_dir):
+    """The letters of the items as sequences, with the bounds for proteins; tests align all pairs."""
+    letters = F.regexp_replace(F.upper("text"), "[^A-Z]", "")
+    return curate.similarity_groups(table(spark, sf_dir, "benchmark").select("item_id", letters.alias("s")), "item_id", "s")

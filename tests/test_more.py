@@ -147,7 +147,7 @@ def test_similarity_without_blocking(spark):
     rng = random.Random(8)
     seqs = [(i, "".join(rng.choice("ACDEFG") for _ in range(rng.randint(8, 14)))) for i in range(14)]
     df = spark.createDataFrame(seqs, "id int, s string")
-    names = {r["id"]: r["group_id"] for r in curate.similarity_groups(df, "id", "s", k=0).collect()}
+    names = {r["id"]: r["group_id"] for r in curate.similarity_groups(df, "id", "s", block=5).collect()}
     from sievemill.functions.sequences import align
 
     parent = {i: i for i, _ in seqs}
