@@ -4,9 +4,10 @@ The suffix array is sparse and spread over tasks. Each LENGTH-byte string has on
 hash among its SEED-byte substrings: equal strings have equal anchors at equal offsets, so suffixes are compared only
 where their anchors agree, and an anchor that occurs once in the corpus leaves the search. Around each repeated
 anchor lies a context: all strings that have it as theirs. Contexts, and then the suffixes of contexts that differ,
-are sorted deep-shallow: multikey quicksort by 8-byte words to a shallow depth, then blind tries over the groups with
-longer common prefixes, which branch only where members differ and compare every byte. The earliest of equal suffixes
-stays and the others are removed.
+are told apart in the two steps of deep-shallow sorting, for all groups at once. To a shallow depth they are sorted by
+8-byte words, in place of a multikey quicksort's bytes; then groups that still agree branch as blind tries do, at the
+first byte in which a member differs from the group's first one, and every byte counts. Removal asks which suffixes are
+equal and which comes first in the corpus, so no order of the suffixes within a group is kept.
 
 Tasks sort what they hold before they send it on and send the earliest of equal contexts alone, so copies don't pile
 up; an anchor that is too frequent even so is dealt by whole suffixes instead.
@@ -32,6 +33,8 @@ SHALLOW = 16
 #: An anchor with so many occurrences may be dealt by suffixes.
 FREQUENT = 1000
 FLUSH = 1 << 20
+#: Hashes of a block of texts whose places are told by 28 bits.
+PLACES = 1 << 27
 NO_ID = (1 << 63) - 1
 U = np.uint64
 ENTRY = np.dtype([("anchor", "<u4"), ("doc", "<i8"), ("text", "<i8"), ("at", "<i8"), ("before", "u1"), ("size", "u1")])
@@ -98,6 +101,22 @@ def in_order(entry: np.ndarray) -> np.ndarray:
     return order[new]
 
 
+def least_places(h: np.ndarray) -> np.ndarray:
+    """Of each run of LENGTH - SEED + 1 neighbours, the place of the least, the first of equals; by the upper 36 bits.
+
+    The lower 28 bits carry places, so hashes are taken in blocks of PLACES, each with the run that begins at its end."""
+    window, found = LENGTH - SEED + 1, []
+    for at in range(0, len(h) - window + 1, PLACES):
+        part = h[at : at + PLACES + window - 1]
+        least, have = (part >> U(28) << U(28)) | np.arange(len(part), dtype=U), 1
+        while have * 2 <= window:
+            least = np.minimum(least[:-have], least[have:])
+            have *= 2
+        least = np.minimum(least[: len(least) - (window - have)], least[window - have :])
+        found.append((least & U((1 << 28) - 1)).astype(np.int64) + at)
+    return np.concatenate(found)
+
+
 class Anchors:
     """Of joined texts: raw, and for each anchor its position, the first and last start of the strings it stands for, the text's index and the hash."""
 
@@ -117,13 +136,7 @@ class Anchors:
             factor = factor * factor % (1 << 64) | 1
             width *= 2
         h = mix(h)
-        least = (h >> U(28) << U(28)) | np.arange(len(h), dtype=U)
-        window, have = LENGTH - SEED + 1, 1
-        while have * 2 <= window:
-            least = np.minimum(least[:-have], least[have:])
-            have *= 2
-        least = np.minimum(least[: len(least) - (window - have)], least[window - have :])
-        argument = (least & U((1 << 28) - 1)).astype(np.int64)
+        argument = least_places(h)
         inside = np.zeros(n + 1, np.int8)
         long = sizes >= LENGTH
         np.add.at(inside, self.offsets[:-1][long], 1)

@@ -122,6 +122,19 @@ def test_rotations_keep_lengths():
     assert np.linalg.norm(nearest.rotations(x, 3), axis=1) == pytest.approx(np.linalg.norm(x, axis=1))
 
 
+@pytest.mark.parametrize("places", [1, 7, 69, 70, 500])
+def test_anchors_in_blocks(places, monkeypatch):
+    """Texts longer than the bits for places reach: blocks give what one block gives."""
+    rng = random.Random(places)
+    texts = [bytes(rng.choice(b"ab") for _ in range(n)) for n in (99, 100, 101, 0, 400, 900)] + [b"x" * 700]
+    one = substrings.Anchors(texts)
+    monkeypatch.setattr(substrings, "PLACES", places)
+    many = substrings.Anchors(texts)
+    assert len(one.position) > 20
+    for field in ("position", "first", "last", "text", "hash"):
+        assert (getattr(one, field) == getattr(many, field)).all()
+
+
 def brute_substrings(rows):
     seen, out = set(), {}
     for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
