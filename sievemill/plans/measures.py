@@ -249,11 +249,12 @@ def grade_bool(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", grade.json_bool(said, "stable", F.lit(True))["status"].alias("status"))
 
 
-@query()
+@query("""select event_id, event_id % 9 in (0, 5, 6, 7, 8) as is_object, case event_id % 9 when 0 then cast(json_extract(props, '$.k') as bigint) when 7 then 3 when 8 then 1 end k,
+ event_id % 9 in (0, 5, 6, 7) as exact from events""")
 def strict_json_status(spark, sf_dir):
     forms = F.expr("""case event_id % 9 when 0 then props when 1 then props || 'x' when 2 then '[' || props || ']' when 3 then '{"k":1,"k":2}' when 4 then '{"k":NaN}' when 5 then '{"k":2.0}' when 6 then '{"k":true}' when 7 then ' {"k": 3} ' else '{"k":1,"z":2}' end""")
     whole = validate.strict_object(forms)
-    return table(spark, sf_dir, "events").select("event_id", whole.isNotNull().alias("is_object"), validate.strict_int(whole, "$.k").alias("k"), F.coalesce(validate.has_exact_keys(forms, ["k"]), F.lit(False)).alias("exact"))
+    return table(spark, sf_dir, "events").select("event_id", whole.isNotNull().alias("is_object"), validate.strict_int(whole, "$.k").alias("k"), F.coalesce(whole.isNotNull() & validate.has_exact_keys(forms, ["k"]), F.lit(False)).alias("exact"))
 
 
 @query("select lang, count(*) planned, count(quality) scored, count(*) filter (quality = 1) correct, (count(*) filter (quality = 1)) / count(*) accuracy from documents left join labels using (doc_id) group by lang")
