@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import cut, release, tuck, untuck, words
+from sievemill.llm.common import cut, dealt, release, tuck, untuck, words
 
 #: Leading tokens on the path to a leaf.
 DEPTH = 4
@@ -89,6 +89,8 @@ def drop_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, depth: int = DEPTH
     alike. n_lines and n_dropped replace columns of these names; other columns stay as they are. An empty table gives an
     empty table."""
     keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_text_key", F.xxhash64("text"))
+    # Texts meet the lines of interest, and then the lines to drop: they are dealt once for both joins.
+    keyed = dealt(keyed, "_doc", "_text_key")
     slim = keyed.select(F.col("_doc").alias("doc"), F.col("_text_key").alias("text_key"), "text")
     dropped = recurring_lines(slim, least_docs, depth, least_tokens).select(F.col("doc").alias("_doc"), F.col("text_key").alias("_text_key"), F.col("dropped").alias("_dropped"))
     lines = F.split("text", "\n", -1)
