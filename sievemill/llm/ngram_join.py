@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import Words, as_bytes, chunks, cut, gram_hashes, mix, pack, partitions, release
+from sievemill.llm.common import Words, as_bytes, chunks, cut, dealt, gram_hashes, mix, pack, partitions, release
 
 #: Cells of a partition, and how many of them a subset leaves out.
 CELLS, SPARED = 3, 1
@@ -289,10 +289,21 @@ def prints_of(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.max("n_shingles").alias("size"), F.first("print").alias("print"))
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
-    """columns of wanted (node, least and others) with the texts of their nodes, and some of other rows that have the
-    same doc_id. wanted is written first: a small table goes to where the texts lie, for its known size."""
-    found = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(cut(wanted.select("least", *columns)), F.expr("_id <=> least"))
+def _key(doc_id) -> F.Column:
+    """Never null, so that a join on it can leave dealt texts where they lie."""
+    return F.coalesce(doc_id, F.lit(0).cast("long")).alias("_key")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(_key, text) of docs."""
+    return docs.select(_key(F.col("doc_id").cast("long")), "text")
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """columns of wanted (node, least and others) with their texts (keyed), and some of other rows that have the same
+    key. wanted is written first: a small table goes to where the texts lie, for its known size, and a large one is
+    dealt as the texts are."""
+    found = texts.join(cut(wanted.select(_key(F.col("least")), *columns)), "_key")
     return found.select(*columns, "text")
 
 
@@ -313,7 +324,7 @@ def near(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
 
 
 def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, n: int, naming: Naming) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose whole sets link.
+    """Those of the distinct pairs (a, b) whose whole sets link. docs: (doc_id, text), or their texts, keyed.
 
     The end with more pairs is the pivot; its text goes once to each group of about STAR of the others."""
     degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
@@ -343,7 +354,7 @@ def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, n:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     wanted = leaves.unionByName(pivots).join(nodes.select("node", "least"), "node")
-    texts = texts_of(docs, wanted, "star", "part", "node", "pivot")
+    texts = texts_of(docs if "_key" in docs.columns else keyed(docs), wanted, "star", "part", "node", "pivot")
     dealt = texts.repartition(partitions(docs.sparkSession), "star", "part").sortWithinPartitions("star", "part", F.desc("pivot"))
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -534,10 +545,12 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4, identity_bits: int = 64
         nodes = cut(nodes_of(rows))
     prints = cut(prints_of(rows))
     pairs = cut(candidate_pairs(docs, percent, n, naming))
-    edges = cut(linked(cut(near(heaviest(pairs), prints, percent)), nodes, docs, percent, n, naming))
+    # Texts meet the nodes that are wanted once a step: they are dealt once for all these joins.
+    texts = dealt(keyed(docs), "_key")
+    edges = cut(linked(cut(near(heaviest(pairs), prints, percent)), nodes, texts, percent, n, naming))
     labels = components(edges)
     # Joined with the fingerprints once, so that a round needs the labels only.
-    mixed = cut(mixed_signatures(texts_of(docs, apart(pairs, nodes, labels), "node", "component"), percent, n, naming).join(prints, "node"))
+    mixed = cut(mixed_signatures(texts_of(texts, apart(pairs, nodes, labels), "node", "component"), percent, n, naming).join(prints, "node"))
     release(pairs, prints)
     for k, (first, end) in enumerate(ROUNDS):
         # Signatures whose nodes an earlier round has all compared don't travel again.
@@ -549,13 +562,13 @@ def join(docs: DataFrame, percent: int = 85, n: int = 4, identity_bits: int = 64
         more = cut(unresolved_pairs(placed(open_, labels), percent, first, end, wide))
         if more.isEmpty():
             continue
-        found = cut(linked(more, nodes, docs, percent, n, naming))
+        found = cut(linked(more, nodes, texts, percent, n, naming))
         release(more)
         if not found.isEmpty():
             edges = edges.unionByName(found)
             release(labels)
             labels = components(edges)
-    release(mixed)
+    release(mixed, texts)
     named = placed(nodes, labels)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("node", "component_id")

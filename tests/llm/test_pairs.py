@@ -262,6 +262,22 @@ def test_ngram_join_of_a_star(spark, monkeypatch):
     assert linked(pairs, nodes, docs, 99, 4, naming).count() == 0
 
 
+def test_ngram_join_deals_texts_once(spark, docs, monkeypatch):
+    """However large the tables are, each join with the texts leaves these where they lie."""
+    key, texts_of, plans = "spark.sql.autoBroadcastJoinThreshold", ngram_join.texts_of, []
+    before = spark.conf.get(key)
+
+    def seen(*a):
+        plans.append((out := texts_of(*a))._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(ngram_join, "texts_of", seen)
+    spark.conf.set(key, "-1")
+    ngram_join.join(docs).count()
+    spark.conf.set(key, before)
+    assert len(plans) > 1 and [p.count("Exchange hashpartitioning") for p in plans] == [1] * len(plans)
+
+
 def test_linked_sets_share_a_signature():
     """Also with empty cells: sets of all sizes, just within the threshold."""
     sim, rng = ngram_join.similarity(85), np.random.default_rng(4)
