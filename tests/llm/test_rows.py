@@ -422,3 +422,63 @@ def test_seatings_agree_with_a_brute_force_sampler(monkeypatch):
     tables, parent = module.sample_tables(count.ravel(), context, word, words)
     assert tables.mean(axis=0).reshape(count.shape) == pytest.approx(tables_seen, rel=0.12, abs=0.12)
     assert parent.mean(axis=0) == pytest.approx(parents_seen, rel=0.12, abs=0.12)
+
+
+def test_scores_follow_the_word_before(spark):
+    """Two words of one class, as their endings are alike, come before different words."""
+    held = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 == 2][:4]
+    train = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = [(i, ("firstxyz left " if k % 2 else "otherxyz right ") * 3) for k, i in enumerate(train[:80])]
+    rows += list(zip(held, ["firstxyz left", "firstxyz right", "otherxyz right", "otherxyz left"]))
+    score = {r["doc_id"]: r["score"] for r in language_model.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    a, b, c, d = (score[i] for i in held)
+    assert a > b + 1 and c > d + 1
+
+
+def test_words_after_each_word_sum_to_one():
+    """Over all words and the unknown one, after every word and after an unknown one; seatings fit together on all levels."""
+    import numpy as np
+
+    module, rng = language_model, np.random.default_rng(3)
+    words = np.unique(rng.integers(1, 1 << 57, 30).astype(np.uint64))
+    context = rng.integers(0, 6, len(words)).astype(np.uint64)
+    # The last two words are no training words; one stands for all unknown ones after others, one for unknown histories.
+    count = rng.poisson(0.6, (len(words), len(words)))
+    count[3, :5] = 200
+    count[:, -2:] = count[-2:] = 0
+    u, w = (x.ravel() for x in np.indices(count.shape))
+    keys, before, place = module.distinct_pairs(words[w] << np.uint64(7) | context[u], words[u])
+    n = np.bincount(place, count.ravel(), len(keys)).astype(np.int64)
+    history = np.searchsorted(words, before)
+    klass = module.ranks(keys)
+    first = np.flatnonzero(np.diff(klass, prepend=-1))
+    word = module.ranks(keys[first] >> np.uint64(7))
+    several = module.by_count(n)
+    least = np.bincount(klass, n > 0, len(first))
+    parts = [np.array([0, n.sum(), len(words)], "<i8"), *(x.astype("<u4") for x in (n[several], klass[several], history[several], np.array([len(words)])))]
+    parts += [(keys[first] & module._CONTEXT_BITS).astype("u1"), word.astype("<u4"), least.astype("<u4")]
+    packed, totals = [module.squeeze(x) for x in parts], []
+    for _ in range(module.BURN_IN + module.SAMPLES):
+        seating = module.Seating(0, packed)
+        totals.append(seating.totals())
+        seating.sweep(totals[-1], np.bincount(history, n > 0, len(words)) + seating.extra(seating.tables)[0])
+        packed = seating.pack()
+    totals = module.Totals.after([*totals, seating.totals()])
+    assert len(seating.kept) == module.SAMPLES
+    pairs, customers, restaurants = [n], [], []
+    for tables, below, parent in seating.kept:
+        assert ((tables >= 1) & (tables <= n[several])).all() and tables.max() > 1
+        pairs.append(np.minimum(n, 1))
+        pairs[-1][several] = tables
+        customers.append(np.bincount(klass, pairs[-1], len(first)))
+        assert np.array_equal(customers[-1], seating.customers(tables))
+        assert ((below <= customers[-1]) & ((below > 0) == (customers[-1] > 0))).all()
+        restaurants.append(np.bincount(history, pairs[-1], len(words)))
+        assert (parent <= np.bincount(word, below, len(words))).all()
+    classes = [*customers, *[x[1] for x in seating.kept]]
+    levels = [count.sum(axis=1), *restaurants, *[np.bincount(word, x[1], len(words)) for x in seating.kept], *[x[2] for x in seating.kept]]
+    p = totals.after_words(keys, before, *(np.array(x) for x in (pairs, classes, levels)))
+    known = np.flatnonzero((levels[-1] > 0))
+    of = np.searchsorted(words, keys >> np.uint64(7))
+    for i in range(len(words)):
+        assert p[(history == i) & (np.isin(of, known) | (of == len(words) - 1))].sum() == pytest.approx(1)
