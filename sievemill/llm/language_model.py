@@ -85,12 +85,15 @@ def ranks(x: np.ndarray) -> np.ndarray:
 
 
 def squeeze(x: np.ndarray) -> bytes:
-    raw = x.tobytes()
+    """Compressed by planes: the lowest byte of each value first, then the next ones, which mostly are zero."""
+    raw = np.ascontiguousarray(x).view("u1").reshape(-1, x.dtype.itemsize).T.tobytes()
     return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
 
 
 def widen(x: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(pa.Codec("zstd").decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True), kind)
+    raw = pa.Codec("zstd").decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True)
+    planes = np.frombuffer(raw, "u1").reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def bucket_of(keys: np.ndarray, wide: int) -> np.ndarray:
@@ -366,13 +369,13 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             n = np.bincount(place, np.concatenate([p[2] for p in parts]), len(keys)).astype("<u4")
             rows = []
             for bucket, (own, word, count) in pack(bucket_of(keys, wide), keys, before, n):
-                rows.append((bucket, ANSWERS, k, [squeeze(np.frombuffer(own, U)), word, squeeze(np.frombuffer(count, "<u4"))]))
+                rows.append((bucket, ANSWERS, k, [squeeze(np.frombuffer(own, U)), squeeze(np.frombuffer(word, U)), squeeze(np.frombuffer(count, "<u4"))]))
             yield _messages(rows)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, messages in _received(batches):
             asked = messages[ANSWERS]
-            parts = [(widen(k, "<u8"), np.frombuffer(b, "<u8"), widen(n, "<u4")) for _, (k, b, n) in asked]
+            parts = [(widen(k, "<u8"), widen(b, "<u8"), widen(n, "<u4")) for _, (k, b, n) in asked]
             keys, before, place = distinct_pairs(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
             count = np.bincount(place, np.concatenate([p[2] for p in parts]), len(keys)).astype(np.int64)
             places = np.split(place, np.cumsum([len(p[0]) for p in parts])[:-1])
@@ -398,12 +401,12 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             seating = [np.array([0, count.sum(), words], "<i8"), *(x.astype("<u4") for x in (count[several], klass[several], every[several], sizes)), (keys[first] & _CONTEXT_BITS).astype("u1"), word.astype("<u4"), n.astype("<u4")]
             rows = [(bucket, SEATING, bucket, [squeeze(x) for x in seating])]
             for k, (own, pairs, need) in pack(owner, rest, np.bincount(at, minlength=len(rest)).astype("<u4"), needed.astype("u1")):
-                rows.append((k, BEFORE, bucket, [own, squeeze(np.frombuffer(pairs, "<u4")), squeeze(np.frombuffer(need, "u1"))]))
+                rows.append((k, BEFORE, bucket, [squeeze(np.frombuffer(own, U)), squeeze(np.frombuffer(pairs, "<u4")), squeeze(np.frombuffer(need, "u1"))]))
             yield _messages(rows)
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, messages in _received(batches):
-            parts = [(np.frombuffer(w, U), widen(n, "<u4"), widen(need, "u1") > 0) for _, (w, n, need) in messages[BEFORE]]
+            parts = [(widen(w, "<u8"), widen(n, "<u4"), widen(need, "u1") > 0) for _, (w, n, need) in messages[BEFORE]]
             rest, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             pairs = np.bincount(at, np.concatenate([p[1] for p in parts]), len(rest))
             places = [x[p[2]] for x, p in zip(np.split(at, np.cumsum([len(p[0]) for p in parts])[:-1]), parts)]
